@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The segmentation is a batch job evaluated at one explicit ``as_of`` time; it
+has no stream, watermark, late data or state across runs, so no streaming
+operator is built (see README, "Not built").
+"""
