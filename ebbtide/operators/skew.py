@@ -21,6 +21,9 @@ from pyspark.sql import types as T
 from ..config import SegmentConfig
 
 SALT = "salt"
+# Upper bound on salted keys per run. Keys past it are still aggregated
+# exactly, only unsplit; with the default share the bound is never reached.
+MAX_HOT_KEYS = 100_000
 
 HOT_SCHEMA = T.StructType(
     [
@@ -38,8 +41,8 @@ def hot_keys(df: DataFrame, cfg: SegmentConfig, key: str = "customer_id",
              partitions: int | None = None) -> list[tuple[int, int]]:
     """(key, number of splits) for every key heavier than one partition.
 
-    Runs two small jobs over a sample of ``df``'s key column; the collected
-    list has at most ``partitions / share + 1`` entries.
+    Runs one job over a sample of ``df``'s key column; the collected list
+    has at most ``partitions / share + 1`` entries.
     """
     if cfg.skew_sample_fraction <= 0:
         return []
@@ -48,30 +51,29 @@ def hot_keys(df: DataFrame, cfg: SegmentConfig, key: str = "customer_id",
     if parts <= 1:
         return []
     counts = (
-        df.select(key)
+        df.select(F.col(key).alias("k"))
         .sample(withReplacement=False, fraction=min(cfg.skew_sample_fraction, 1.0),
                 seed=cfg.skew_seed)
-        .groupBy(key)
+        .groupBy("k")
         .agg(F.count(F.lit(1)).alias("n"))
-        .persist()
     )
-    try:
-        sampled = counts.agg(F.sum("n").alias("s")).first()["s"] or 0
-        # Too few sampled rows to tell a hot key from noise: data is small.
-        if sampled < parts * 4:
-            return []
-        per_part = sampled * cfg.skew_partition_share / parts
-        bound = int(parts / cfg.skew_partition_share) + 1
-        rows = (
-            counts.filter(F.col("n") > F.lit(per_part))
-            .orderBy(F.col("n").desc())
-            .limit(bound)
-            .collect()
-        )
-    finally:
-        counts.unpersist()
+    # At most `bound` keys can exceed the threshold, so the `bound` largest
+    # keys contain all of them. The top keys and the sample total come back in
+    # one job: both branches read the same (reused) aggregation exchange.
+    bound = min(int(parts / cfg.skew_partition_share) + 1, MAX_HOT_KEYS)
+    top = counts.orderBy(F.col("n").desc()).limit(bound).withColumn("total", F.lit(False))
+    total = counts.agg(F.sum("n").alias("n")).select(
+        F.lit(None).cast(counts.schema["k"].dataType).alias("k"), "n", F.lit(True).alias("total")
+    )
+    got = top.unionByName(total).collect()
+    sampled = sum(r["n"] or 0 for r in got if r["total"])
+    # Too few sampled rows to tell a hot key from noise: the data is small.
+    if sampled < parts * 4:
+        return []
+    per_part = sampled * cfg.skew_partition_share / parts
+    rows = [r for r in got if not r["total"] and r["n"] > per_part]
     return [
-        (int(r[key]), max(2, min(parts, math.ceil(r["n"] * parts / sampled)))) for r in rows
+        (int(r["k"]), max(2, min(parts, math.ceil(r["n"] * parts / sampled)))) for r in rows
     ]
 
 
