@@ -54,6 +54,7 @@ def main() -> None:
             fn()
             samples.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(samples), 4)
+        print(name, [round(x, 3) for x in samples], file=sys.stderr)
     spark.stop()
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({

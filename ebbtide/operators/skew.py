@@ -37,46 +37,64 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(df: DataFrame, cfg: SegmentConfig, key: str = "customer_id",
-             partitions: int | None = None) -> list[tuple[int, int]]:
-    """(key, number of splits) for every key heavier than one partition.
-
-    Runs one job over a sample of ``df``'s key column; the collected list
-    has at most ``partitions / share + 1`` entries.
-    """
-    if cfg.skew_sample_fraction <= 0:
-        return []
-    spark = df.sparkSession
-    parts = partitions or shuffle_partitions(spark)
-    if parts <= 1:
-        return []
-    counts = (
+def sample_counts(df: DataFrame, cfg: SegmentConfig, key: str = "customer_id") -> DataFrame:
+    """(k, n): rows per key in a seeded sample of ``df`` (lazy)."""
+    return (
         df.select(F.col(key).alias("k"))
         .sample(withReplacement=False, fraction=min(cfg.skew_sample_fraction, 1.0),
                 seed=cfg.skew_seed)
         .groupBy("k")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # At most `bound` keys can exceed the threshold, so the `bound` largest
-    # keys contain all of them. The top keys and the sample total come back in
-    # one job: both branches read the same (reused) aggregation exchange.
-    bound = min(int(parts / cfg.skew_partition_share) + 1, MAX_HOT_KEYS)
-    top = counts.orderBy(F.col("n").desc()).limit(bound).withColumn("total", F.lit(False))
+
+
+def top_bound(cfg: SegmentConfig, parts: int) -> int:
+    """At most this many keys can each exceed ``share / parts`` of a sample."""
+    return min(int(parts / cfg.skew_partition_share) + 1, MAX_HOT_KEYS)
+
+
+def summary(counts: DataFrame, cfg: SegmentConfig, parts: int, tag: str) -> DataFrame:
+    """(tag, k, n) rows: the sample total (k NULL) and the largest keys.
+
+    The ``top_bound`` largest keys contain every key over the threshold, so
+    nothing else needs to leave the cluster. Both parts read the same
+    aggregation exchange, which Spark reuses.
+    """
+    top = counts.orderBy(F.col("n").desc()).limit(top_bound(cfg, parts))
     total = counts.agg(F.sum("n").alias("n")).select(
-        F.lit(None).cast(counts.schema["k"].dataType).alias("k"), "n", F.lit(True).alias("total")
-    )
-    got = top.unionByName(total).collect()
-    sampled = sum(r["n"] or 0 for r in got if r["total"])
+        F.lit(None).cast(counts.schema["k"].dataType).alias("k"), "n")
+    return top.unionByName(total).select(F.lit(tag).alias("tag"), "k", "n")
+
+
+def hot_from(rows, cfg: SegmentConfig, parts: int, tag: str) -> list[tuple[int, int]]:
+    """(key, splits) from collected ``summary`` rows of one tag."""
+    mine = [r for r in rows if r["tag"] == tag]
+    sampled = sum(r["n"] or 0 for r in mine if r["k"] is None)
     # Too few sampled rows to tell a hot key from noise: the data is small.
     if sampled < parts * 4:
         return []
     per_part = sampled * cfg.skew_partition_share / parts
-    rows = [r for r in got if not r["total"] and r["n"] > per_part]
     return [
-        (int(r["k"]), max(2, min(parts, math.ceil(r["n"] * parts / sampled)))) for r in rows
+        (int(r["k"]), max(2, min(parts, math.ceil(r["n"] * parts / sampled))))
+        for r in mine
+        if r["k"] is not None and r["n"] > per_part
     ]
 
 
+def hot_keys(df: DataFrame, cfg: SegmentConfig, key: str = "customer_id",
+             partitions: int | None = None) -> list[tuple[int, int]]:
+    """(key, number of splits) for every key heavier than one partition.
+
+    One job over a sample of ``df``'s key column; the collected list has at
+    most ``partitions / share + 1`` entries.
+    """
+    parts = partitions or shuffle_partitions(df.sparkSession)
+    if cfg.skew_sample_fraction <= 0 or parts <= 1:
+        return []
+    rows = summary(sample_counts(df, cfg, key), cfg, parts, "x").collect()
+    return hot_from(rows, cfg, parts, "x")
+
+
 def with_salt(df: DataFrame, hot: list[tuple[int, int]], split_by: str = "id",
               key: str = "customer_id") -> DataFrame:
     """Add ``salt``: 0 for ordinary keys, hash(split_by) mod n_splits for hot

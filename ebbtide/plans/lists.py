@@ -42,13 +42,15 @@ def customer_history(tables: Tables, cfg: SegmentConfig, with_value: bool = Fals
     ids = eligible(tables, cfg)
     delivered = history.delivered_orders(tables.orders, cfg)
     if broadcast is None:
-        broadcast = strategy.fits_broadcast(ids, cfg)
+        broadcast, hot = strategy.probe_orders_pass(ids, delivered, cfg)
+    else:
+        hot = skew.hot_keys(delivered, cfg)
     if broadcast:
         rows = delivered.join(
             F.broadcast(ids.withColumnRenamed("cid", "customer_id")), "customer_id", "left_semi"
         )
-        return history.order_history(rows, cfg, with_value, skew.hot_keys(rows, cfg))
-    per_customer = history.order_history(delivered, cfg, with_value, skew.hot_keys(delivered, cfg))
+        return history.order_history(rows, cfg, with_value, hot)
+    per_customer = history.order_history(delivered, cfg, with_value, hot)
     return per_customer.join(ids, "cid", "inner")
 
 

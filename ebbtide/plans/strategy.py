@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SegmentConfig
+from ..operators import skew
 
 DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
@@ -36,6 +38,21 @@ def fits_broadcast(df: DataFrame, cfg: SegmentConfig, row_bytes: int | None = No
     return rows * (row_bytes or cfg.broadcast_row_bytes) <= budget
 
 
+def probe_orders_pass(ids: DataFrame, delivered: DataFrame, cfg: SegmentConfig,
+                      id_bytes: int | None = None) -> tuple[bool, list[tuple[int, int]]]:
+    """Decide the orders-pass plan: (broadcast the eligible ids?, hot keys).
+
+    Two small, independent jobs run concurrently: the eligible-id count, and
+    the hot-key sample of all delivered orders. A customer is hot when it
+    holds more rows than an average partition of the whole delivered-orders
+    shuffle -- an absolute task size, so the same list serves both paths.
+    """
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        fits = pool.submit(fits_broadcast, ids, cfg, id_bytes)
+        hot = pool.submit(skew.hot_keys, delivered, cfg)
+        return fits.result(), hot.result()
+
+
 def bounded_broadcast(df: DataFrame, cfg: SegmentConfig, row_bytes: int = 128) -> DataFrame:
     """``broadcast(df)`` if its counted size fits, else ``df`` unchanged so
     Spark plans a shuffled join."""
