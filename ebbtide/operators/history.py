@@ -139,8 +139,7 @@ def order_history(delivered: DataFrame, cfg: SegmentConfig, with_value: bool = F
     ``hot`` lists (customer id, splits) pairs to salt; see ``skew.hot_keys``.
     """
     e = edges(cfg)
-    cols = ["customer_id", "id", "created_at"] + (["actual_subtotal"] if with_value else [])
-    rows = delivered.select(*cols)
+    rows = delivered  # unused columns are pruned below the shuffle by Catalyst
     keys = ["customer_id"]
     if hot:
         rows = skew.with_salt(rows, hot)

@@ -8,7 +8,7 @@ filter drops such rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import SegmentConfig
@@ -29,10 +29,10 @@ def drop_col(cfg: SegmentConfig) -> str:
     return f"{cfg.window_names[0]}_drop_from_avg"
 
 
-def cohort(cfg: SegmentConfig):
+def cohort(cfg: SegmentConfig, avg: Column | None = None) -> Column:
     lo, mid, hi = cfg.cohort_edges
     casual, core, power = cfg.cohort_names
-    avg = F.col(AVG)
+    avg = F.col(AVG) if avg is None else avg
     # Averages under the lowest edge (and NULL) fall to the last cohort.
     return (
         F.when((avg >= lo) & (avg < mid), F.lit(casual))
@@ -46,25 +46,24 @@ def score(history: DataFrame, cfg: SegmentConfig, with_value: bool = False) -> D
 
     The newest window is the observation; the others form the baseline, and
     the average divides by the number of observable (non-NULL) baseline
-    windows.
+    windows. One projection: the average expression is reused and Catalyst
+    evaluates it once per row (common subexpression elimination).
     """
     counts = [F.col(count_col(cfg, k)) for k in range(cfg.n_windows)]
     newest, baseline = counts[0], counts[1:]
-    avg = F.col(AVG)
-    scored = (
-        history.withColumn(AVG, mean_of_present(baseline))
-        .withColumn(COHORT, cohort(cfg))
-        .withColumn(MAGNITUDE, ratio(adjacent_change(counts), avg))
-        .withColumn(DAYS_SINCE, days_between(F.col("last_order_date"), ntz(cfg.as_of)))
-        .withColumn(GAP, ratio(F.lit(cfg.window_days), avg))
-        .withColumn(drop_col(cfg), avg - newest)
-    )
+    avg = mean_of_present(baseline)
+    cols = [
+        avg.alias(AVG),
+        cohort(cfg, avg).alias(COHORT),
+        ratio(adjacent_change(counts), avg).alias(MAGNITUDE),
+        days_between(F.col("last_order_date"), ntz(cfg.as_of)).alias(DAYS_SINCE),
+        ratio(F.lit(cfg.window_days), avg).alias(GAP),
+        (avg - newest).alias(drop_col(cfg)),
+    ]
     if with_value:
         # GMV and AOV are NULL (not 0) in a window without valued orders, so
         # they divide by the windows that have a value.
         gmv = [F.col(gmv_col(cfg, k)) for k in range(1, cfg.n_windows)]
         aov = [F.col(aov_col(cfg, k)) for k in range(1, cfg.n_windows)]
-        scored = scored.withColumn(GMV_AVG, mean_of_present(gmv)).withColumn(
-            AOV_AVG, mean_of_present(aov)
-        )
-    return scored
+        cols += [mean_of_present(gmv).alias(GMV_AVG), mean_of_present(aov).alias(AOV_AVG)]
+    return history.select("*", *cols)

@@ -42,12 +42,16 @@ def customer_history(tables: Tables, cfg: SegmentConfig, with_value: bool = Fals
     ids = eligible(tables, cfg)
     delivered = history.delivered_orders(tables.orders, cfg)
     if broadcast is None:
-        broadcast, hot = strategy.probe_orders_pass(ids, delivered, cfg)
+        # Customers passing the row predicates bound the eligible ids from
+        # above (the subscription semi-join only removes rows), and are
+        # cheaper to count.
+        bound = tables.customers.filter(eligibility.customer_filter(cfg)).select("id")
+        broadcast, hot = strategy.probe_orders_pass(bound, delivered, cfg)
     else:
         hot = skew.hot_keys(delivered, cfg)
     if broadcast:
         rows = delivered.join(
-            F.broadcast(ids.withColumnRenamed("cid", "customer_id")), "customer_id", "left_semi"
+            F.broadcast(ids.select(F.col("cid").alias("customer_id"))), "customer_id", "left_semi"
         )
         return history.order_history(rows, cfg, with_value, hot)
     per_customer = history.order_history(delivered, cfg, with_value, hot)
