@@ -112,6 +112,14 @@ class SegmentConfig:
     skew_partition_share: float = 1.0
     skew_seed: int = 17
 
+    def __post_init__(self):
+        # Fail fast on a malformed clock instead of a NULL/ANSI cast error later.
+        import datetime as _dt
+
+        _dt.datetime.fromisoformat(self.as_of)
+        if not 0 < self.skew_partition_share:
+            raise ValueError("skew_partition_share must be positive")
+
     @property
     def n_windows(self) -> int:
         return len(self.window_names)

@@ -34,7 +34,9 @@ HOT_SCHEMA = T.StructType(
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """The session's shuffle partition count (200 if it is not a number)."""
+    raw = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    return int(raw) if str(raw).strip().isdigit() else 200
 
 
 def sample_counts(df: DataFrame, cfg: SegmentConfig, key: str = "customer_id") -> DataFrame:
