@@ -103,22 +103,25 @@ class SegmentConfig:
     broadcast_max_bytes: int | None = None
     # Estimated bytes per broadcast row of a long-keyed hash relation.
     broadcast_row_bytes: int = 48
-    # Fraction of delivered orders sampled to find hot customer ids; 0 turns
-    # hot-key salting off.
+    # Fraction of delivered orders sampled to size the orders shuffle and to
+    # find hot customer ids; 0 turns both off (session partitions, no salt).
     skew_sample_fraction: float = 0.01
-    # A customer is hot when it holds more than this share of the sampled
-    # rows of one shuffle partition; its orders are then split into
-    # several partitions by order id.
-    skew_partition_share: float = 1.0
     skew_seed: int = 17
+    # Shuffled bytes one task should hold; a customer whose orders exceed it
+    # is split over several partitions by order id, and the shuffle gets
+    # more partitions than the session's when the volume needs them.
+    target_partition_bytes: int = 128 * 1024 * 1024
+    # Estimated bytes of one shuffled order row (ids, timestamp, value).
+    shuffle_row_bytes: int = 48
+    max_shuffle_partitions: int = 200_000
 
     def __post_init__(self):
         # Fail fast on a malformed clock instead of a NULL/ANSI cast error later.
         import datetime as _dt
 
         _dt.datetime.fromisoformat(self.as_of)
-        if not 0 < self.skew_partition_share:
-            raise ValueError("skew_partition_share must be positive")
+        if self.target_partition_bytes <= 0 or self.max_shuffle_partitions <= 0:
+            raise ValueError("target_partition_bytes and max_shuffle_partitions must be positive")
 
     @property
     def n_windows(self) -> int:

@@ -133,18 +133,24 @@ def _finish(df: DataFrame, cfg: SegmentConfig, e: Edges, with_value: bool) -> Da
 
 
 def order_history(delivered: DataFrame, cfg: SegmentConfig, with_value: bool = False,
-                  hot: list[tuple[int, int]] | None = None) -> DataFrame:
+                  plan: skew.ShufflePlan | None = None) -> DataFrame:
     """One row per customer id found in ``delivered``.
 
-    ``hot`` lists (customer id, splits) pairs to salt; see ``skew.hot_keys``.
+    ``plan`` (see ``skew.plan_shuffle``) gives the hot customers to salt and,
+    when the volume needs it, an explicit partition count.
     """
     e = edges(cfg)
+    plan = plan or skew.ShufflePlan()
+    hot = plan.hot
     rows = delivered  # unused columns are pruned below the shuffle by Catalyst
     keys = ["customer_id"]
     if hot:
         rows = skew.with_salt(rows, hot)
         keys.append(skew.SALT)
-    per_key = rows.repartition(*keys).groupBy(*keys).agg(*_partial_aggs(cfg, e, with_value))
+    # Without an explicit count AQE may coalesce the partitions further.
+    shuffled = (rows.repartition(plan.partitions, *keys) if plan.partitions
+                else rows.repartition(*keys))
+    per_key = shuffled.groupBy(*keys).agg(*_partial_aggs(cfg, e, with_value))
     if hot:
         per_key = per_key.groupBy("customer_id").agg(*_merge_aggs(cfg, with_value))
     return _finish(per_key, cfg, e, with_value)

@@ -1,18 +1,22 @@
-"""Hot-key detection and salting for the per-customer aggregation.
-
-The orders aggregation is shuffled once by customer id. A customer that
-holds a large share of all orders would then land in one task. Such keys are
-found on a seeded row sample (a bounded result: at most ``P / share`` keys can
-each hold more than ``share / P`` of the sample) and their rows are spread
-over several partitions by a hash of the order id. Because the split is a
-function of the order id, equal (customer, order id) pairs stay together and
-the per-split distinct counts add up exactly. Results never depend on which
-keys are found hot, only the task sizes do.
+"""Size the orders shuffle and split hot customers, from one sampled job.
+
+The orders aggregation is shuffled once by customer id. Two things can go
+wrong at scale: the session's partition count may be far too small for the
+volume, and one customer may hold a large share of all orders, landing in a
+single task. Both are measured on a seeded row sample of the rows about to
+be shuffled: the sample total gives the volume (and so the partition count
+that keeps each partition near ``target_partition_bytes``), and a key whose
+estimated bytes exceed that target is hot. Hot keys are spread over several
+partitions by a hash of the order id; because the split is a function of the
+order id, equal (customer, order id) pairs stay together and the per-split
+distinct counts add up exactly. Results never depend on the sample, only the
+task sizes do.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +25,10 @@ from pyspark.sql import types as T
 from ..config import SegmentConfig
 
 SALT = "salt"
-# Upper bound on salted keys per run. Keys past it are still aggregated
-# exactly, only unsplit; with the default share the bound is never reached.
+# Bound on the keys brought back from the sample. Keys past it are still
+# aggregated exactly, only unsplit; a key must hold a whole target partition
+# of rows to qualify, so this is reached only beyond ~100k partitions of hot
+# data.
 MAX_HOT_KEYS = 100_000
 
 HOT_SCHEMA = T.StructType(
@@ -33,10 +39,25 @@ HOT_SCHEMA = T.StructType(
 )
 
 
+@dataclass(frozen=True)
+class ShufflePlan:
+    """How to shuffle the rows: ``partitions`` is None to keep the session's
+    (AQE-coalesced) count, else an explicit larger count."""
+
+    partitions: int | None = None
+    hot: list[tuple[int, int]] = field(default_factory=list)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
-    """The session's shuffle partition count (200 if it is not a number)."""
-    raw = spark.conf.get("spark.sql.shuffle.partitions", "200")
-    return int(raw) if str(raw).strip().isdigit() else 200
+    """Partitions a column repartition starts with in this session."""
+    def number(key: str) -> int | None:
+        raw = spark.conf.get(key, None)
+        return int(raw) if raw and str(raw).strip().isdigit() else None
+
+    adaptive = str(spark.conf.get("spark.sql.adaptive.enabled", "true")).lower() == "true"
+    initial = number("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    return (initial if adaptive and initial else None) or number(
+        "spark.sql.shuffle.partitions") or 200
 
 
 def sample_counts(df: DataFrame, cfg: SegmentConfig, key: str = "customer_id") -> DataFrame:
@@ -50,57 +71,55 @@ def sample_counts(df: DataFrame, cfg: SegmentConfig, key: str = "customer_id") -
     )
 
 
-def top_bound(cfg: SegmentConfig, parts: int) -> int:
-    """At most this many keys can each exceed ``share / parts`` of a sample."""
-    return min(int(parts / cfg.skew_partition_share) + 1, MAX_HOT_KEYS)
-
-
-def summary(counts: DataFrame, cfg: SegmentConfig, parts: int, tag: str) -> DataFrame:
-    """(tag, k, n) rows: the sample total (k NULL) and the largest keys.
+def summary(counts: DataFrame, limit: int = MAX_HOT_KEYS) -> DataFrame:
+    """(k, n) rows: the sample total (k NULL) and the ``limit`` largest keys.
 
-    The ``top_bound`` largest keys contain every key over the threshold, so
-    nothing else needs to leave the cluster. Both parts read the same
-    aggregation exchange, which Spark reuses.
+    Both parts read the same aggregation exchange, which Spark reuses; only
+    a bounded number of rows leaves the cluster.
     """
-    top = counts.orderBy(F.col("n").desc()).limit(top_bound(cfg, parts))
+    top = counts.orderBy(F.col("n").desc()).limit(limit)
     total = counts.agg(F.sum("n").alias("n")).select(
         F.lit(None).cast(counts.schema["k"].dataType).alias("k"), "n")
-    return top.unionByName(total).select(F.lit(tag).alias("tag"), "k", "n")
-
-
-def hot_from(rows, cfg: SegmentConfig, parts: int, tag: str) -> list[tuple[int, int]]:
-    """(key, splits) from collected ``summary`` rows of one tag."""
-    mine = [r for r in rows if r["tag"] == tag]
-    sampled = sum(r["n"] or 0 for r in mine if r["k"] is None)
-    # Too few sampled rows to tell a hot key from noise: the data is small.
-    if sampled < parts * 4:
-        return []
-    per_part = sampled * cfg.skew_partition_share / parts
-    return [
-        (int(r["k"]), max(2, min(parts, math.ceil(r["n"] * parts / sampled))))
-        for r in mine
-        if r["k"] is not None and r["n"] > per_part
-    ]
-
-
-def hot_keys(df: DataFrame, cfg: SegmentConfig, key: str = "customer_id",
-             partitions: int | None = None) -> list[tuple[int, int]]:
-    """(key, number of splits) for every key heavier than one partition.
-
-    One job over a sample of ``df``'s key column; the collected list has at
-    most ``partitions / share + 1`` entries.
-    """
-    parts = partitions or shuffle_partitions(df.sparkSession)
-    if cfg.skew_sample_fraction <= 0 or parts <= 1:
-        return []
-    rows = summary(sample_counts(df, cfg, key), cfg, parts, "x").collect()
-    return hot_from(rows, cfg, parts, "x")
+    return top.unionByName(total)
+
+
+def plan_from(rows, cfg: SegmentConfig, session_partitions: int) -> ShufflePlan:
+    """Turn collected ``summary`` rows into a shuffle plan."""
+    fraction = min(cfg.skew_sample_fraction, 1.0)
+    sampled = sum(r["n"] or 0 for r in rows if r["k"] is None)
+    if sampled == 0:
+        return ShufflePlan()
+    target = cfg.target_partition_bytes
+    est_bytes = sampled / fraction * cfg.shuffle_row_bytes
+    needed = min(math.ceil(est_bytes / target), cfg.max_shuffle_partitions)
+    parts = max(session_partitions, needed)
+    hot = []
+    for r in rows:
+        if r["k"] is None:
+            continue
+        key_bytes = r["n"] / fraction * cfg.shuffle_row_bytes
+        if key_bytes > target:
+            hot.append((int(r["k"]), max(2, min(parts, math.ceil(key_bytes / target)))))
+    return ShufflePlan(parts if parts > session_partitions else None, hot)
+
+
+def plan_shuffle(df: DataFrame, cfg: SegmentConfig, key: str = "customer_id") -> ShufflePlan:
+    """One small job over a sample of ``df``'s key column."""
+    if cfg.skew_sample_fraction <= 0:
+        return ShufflePlan()
+    rows = summary(sample_counts(df, cfg, key)).collect()
+    return plan_from(rows, cfg, shuffle_partitions(df.sparkSession))
+
+
+def hot_keys(df: DataFrame, cfg: SegmentConfig, key: str = "customer_id") -> list[tuple[int, int]]:
+    """(key, number of splits) for every key heavier than one target partition."""
+    return plan_shuffle(df, cfg, key).hot
 
 
 def with_salt(df: DataFrame, hot: list[tuple[int, int]], split_by: str = "id",
               key: str = "customer_id") -> DataFrame:
     """Add ``salt``: 0 for ordinary keys, hash(split_by) mod n_splits for hot
-    keys. The hot list is tiny and bounded, so it is broadcast."""
+    keys. The hot list is small and bounded, so it is broadcast."""
     if not hot:
         return df.withColumn(SALT, F.lit(0).cast("long"))
     spark = df.sparkSession

@@ -46,15 +46,15 @@ def customer_history(tables: Tables, cfg: SegmentConfig, with_value: bool = Fals
         # above (the subscription semi-join only removes rows), and are
         # cheaper to count.
         bound = tables.customers.filter(eligibility.customer_filter(cfg)).select("id")
-        broadcast, hot = strategy.probe_orders_pass(bound, delivered, cfg)
+        broadcast, plan = strategy.probe_orders_pass(bound, delivered, cfg)
     else:
-        hot = skew.hot_keys(delivered, cfg)
+        plan = skew.plan_shuffle(delivered, cfg)
     if broadcast:
         rows = delivered.join(
             F.broadcast(ids.select(F.col("cid").alias("customer_id"))), "customer_id", "left_semi"
         )
-        return history.order_history(rows, cfg, with_value, hot)
-    per_customer = history.order_history(delivered, cfg, with_value, hot)
+        return history.order_history(rows, cfg, with_value, plan)
+    per_customer = history.order_history(delivered, cfg, with_value, plan)
     return per_customer.join(ids, "cid", "inner")
 
 

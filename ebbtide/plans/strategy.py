@@ -40,21 +40,20 @@ def fits_broadcast(df: DataFrame, cfg: SegmentConfig, row_bytes: int | None = No
 
 
 def probe_orders_pass(ids: DataFrame, delivered: DataFrame, cfg: SegmentConfig,
-                      id_bytes: int | None = None) -> tuple[bool, list[tuple[int, int]]]:
-    """Decide the orders-pass plan: (broadcast the eligible ids?, hot keys).
+                      id_bytes: int | None = None) -> tuple[bool, skew.ShufflePlan]:
+    """Decide the orders-pass plan: (broadcast the eligible ids?, shuffle plan).
 
     ``ids`` is the broadcast candidate or any superset of it. Two small,
     independent jobs run concurrently: the count of ``ids``, and
-    the hot-key sample of all delivered orders. A customer is hot when it
-    holds more rows than an average partition of the whole delivered-orders
-    shuffle -- an absolute task size, so the same list serves both paths.
+    the sample of all delivered orders that sizes the shuffle and finds hot
+    customers (absolute sizes, so the same plan serves both paths).
     """
     # Threads inherit the caller's job group / scheduler pool, so the probe
     # is cancelled and accounted together with the job that needs it.
     inherit = inheritable_thread_target(ids.sparkSession)
     with ThreadPoolExecutor(max_workers=2) as pool:
         fits = pool.submit(inherit(fits_broadcast), ids, cfg, id_bytes)
-        hot = pool.submit(inherit(skew.hot_keys), delivered, cfg)
+        hot = pool.submit(inherit(skew.plan_shuffle), delivered, cfg)
         return fits.result(), hot.result()
 
 

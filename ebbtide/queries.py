@@ -153,7 +153,8 @@ def list_base_shuffled(spark, sf_dir):
 def list_details_salted(spark, sf_dir):
     """The detail list with every sampled customer treated as hot, so the
     salted two-level aggregation is exercised on the whole table."""
-    cfg = MIDDAY.replace(skew_sample_fraction=1.0, skew_partition_share=1e-9)
+    cfg = MIDDAY.replace(skew_sample_fraction=1.0, target_partition_bytes=1,
+                         max_shuffle_partitions=16)
     return lists.detail_list(_t(spark, sf_dir), cfg)
 
 

@@ -81,7 +81,8 @@ def test_pushdown_and_pruning_on_real_tables(spark, tmp_path):
 def test_salted_and_shuffled_paths_equal_broadcast_path(spark, fx01):
     plain = lists.customer_history(fx01, CFG, with_value=True, broadcast=True)
     shuffled = lists.customer_history(fx01, CFG, with_value=True, broadcast=False)
-    salted_cfg = CFG.replace(skew_sample_fraction=1.0, skew_partition_share=1e-9)
+    salted_cfg = CFG.replace(skew_sample_fraction=1.0, target_partition_bytes=1,
+                             max_shuffle_partitions=16)
     salted = lists.customer_history(fx01, salted_cfg, with_value=True, broadcast=True)
     salted_shuffled = lists.customer_history(fx01, salted_cfg, with_value=True, broadcast=False)
     assert plain.count() == 204
@@ -94,9 +95,12 @@ def test_hot_key_detection_finds_a_dominant_customer(spark):
     # one customer holds a third of the rows
     rows = [(i, 7 if i % 3 == 0 else i) for i in range(30000)]
     df = spark.createDataFrame(rows, "id long, customer_id long")
-    hot = skew.hot_keys(df, CFG.replace(skew_sample_fraction=0.2), partitions=8)
+    cfg = CFG.replace(skew_sample_fraction=0.2, target_partition_bytes=100_000)
+    plan = skew.plan_shuffle(df, cfg)
+    hot = plan.hot
     assert [k for k, _ in hot] == [7]
-    assert 2 <= hot[0][1] <= 8
+    # ~10,000 rows x 48 bytes over 100 kB targets: about five splits
+    assert 3 <= hot[0][1] <= 8
     salted = skew.with_salt(df, hot)
     per_salt = salted.filter("customer_id = 7").groupBy("salt").count().collect()
     assert len(per_salt) == hot[0][1]
@@ -112,7 +116,7 @@ def test_salted_aggregate_is_exact_with_duplicate_order_ids(spark):
                        "status", "cast(delivered_at as timestamp_ntz) delivered_at",
                        "actual_subtotal")
     plain = history.order_history(df, CFG).first()
-    salted = history.order_history(df, CFG, hot=[(1, 8)]).first()
+    salted = history.order_history(df, CFG, plan=skew.ShufflePlan(None, [(1, 8)])).first()
     assert plain["total_orders_lifetime"] == 500 == salted["total_orders_lifetime"]
     assert plain == salted
 
@@ -123,3 +127,17 @@ def test_all_lists_one_pass_matches_single_lists(fx01):
     assert same_rows(out["metro"], lists.metro_list(fx01, CFG))
     assert same_rows(out["test"], lists.test_list(fx01, CFG))
     assert same_rows(out["base"], lists.base_list(fx01, CFG))
+
+
+def test_shuffle_plan_sizes_from_volume_and_splits_hot_keys():
+    cfg = CFG.replace(skew_sample_fraction=0.01)  # 48-byte rows, 128 MB targets
+    rows = [{"k": None, "n": 1_000_000}, {"k": 5, "n": 400_000}, {"k": 6, "n": 10}]
+    # 1e8 rows x 48 B = 4.8 GB -> 36 partitions: the session's 200 suffice
+    p = skew.plan_from(rows, cfg, session_partitions=200)
+    assert p.partitions is None
+    # key 5: 4e7 rows x 48 B = 1.9 GB -> 15 splits of ~128 MB; key 6 is ordinary
+    assert p.hot == [(5, 15)]
+    # a session with 8 partitions would make 600 MB partitions: ask for 36
+    assert skew.plan_from(rows, cfg, session_partitions=8).partitions == 36
+    # nothing sampled: keep everything as it is
+    assert skew.plan_from([{"k": None, "n": None}], cfg, 8) == skew.ShufflePlan()
