@@ -1,8 +1,9 @@
 """Benchmark the headline lists; prints ONE JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 3). Each query is run once to warm up, then
-BENCH_REPEAT times; the median wall time of a full collect is reported.
+BENCH_REPEAT (default 5). Each query is run once to warm up, then
+BENCH_REPEAT times in a row; the median wall time of a full collect is
+reported per query.
 """
 
 from __future__ import annotations
@@ -59,7 +60,7 @@ def two_scan_base(tables, cfg):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     scratch = tempfile.mkdtemp(prefix="ebbtide-bench-")
 
     from ebbtide.config import FIXTURE_AS_OF, SegmentConfig
@@ -86,7 +87,7 @@ def main() -> None:
     times: dict[str, float] = {}
     rows: dict[str, int] = {}
     for name, fn in runs.items():
-        rows[name] = fn()  # warm-up
+        rows[name] = fn()  # warm-up: JIT, file footers, generated code
         samples = []
         for _ in range(repeat):
             t0 = time.perf_counter()

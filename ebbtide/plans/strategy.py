@@ -53,8 +53,8 @@ def probe_orders_pass(ids: DataFrame, delivered: DataFrame, cfg: SegmentConfig,
     inherit = inheritable_thread_target(ids.sparkSession)
     with ThreadPoolExecutor(max_workers=2) as pool:
         fits = pool.submit(inherit(fits_broadcast), ids, cfg, id_bytes)
-        hot = pool.submit(inherit(skew.plan_shuffle), delivered, cfg)
-        return fits.result(), hot.result()
+        shuffle = pool.submit(inherit(skew.plan_shuffle), delivered, cfg)
+        return fits.result(), shuffle.result()
 
 
 def bounded_broadcast(df: DataFrame, cfg: SegmentConfig, row_bytes: int = 128) -> DataFrame:
