@@ -59,7 +59,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
 
 def main(argv=None) -> None:
     args = parse(argv)
-    spark = SparkSession.builder.appName("ebbtide").getOrCreate()
+    spark = (SparkSession.builder.appName("ebbtide")
+             # static: no per-Column Python call-site capture while planning
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+             .getOrCreate())
     for name, path in run(spark, args).items():
         print(f"{name}: {path}")
 

@@ -41,6 +41,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.local.dir", scratch)
         .config("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
+        # Static: skip the per-Column Python call-site capture (several Py4J
+        # round trips and a stack walk per expression node) that only serves
+        # error messages; plan building is otherwise most of a small job.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in RUNTIME.items():
         builder = builder.config(k, v)
