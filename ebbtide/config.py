@@ -103,6 +103,10 @@ class SegmentConfig:
     broadcast_max_bytes: int | None = None
     # Estimated bytes per broadcast row of a long-keyed hash relation.
     broadcast_row_bytes: int = 48
+    # Beyond the budget, filter orders map-side with a hashed bitmap of the
+    # eligible ids sized to the same budget (bounded whatever their number).
+    prefilter: bool = True
+    bitmap_row_bytes: int = 32
     # Fraction of delivered orders sampled to size the orders shuffle and to
     # find hot customer ids; 0 turns both off (session partitions, no salt).
     # A key matters once it fills a target partition (~2.8M rows of 48 B), so

@@ -7,10 +7,10 @@ Plan shape (orders is the only large input):
 * if the eligible ids fit the broadcast budget (counted, not estimated),
   delivered orders are semi-joined against a broadcast of them: a map-side
   filter, so only eligible customers' orders reach the shuffle;
-  otherwise every delivered order is aggregated first (map-side filtered,
-  one narrow shuffle) and the per-customer result -- one row per customer --
-  is joined with the eligible ids, a join of two unique-keyed sides that
-  cannot skew;
+  otherwise orders are filtered map-side by a hashed bitmap of the eligible
+  ids (bounded by the same budget, no false negatives), aggregated, and the
+  per-customer result -- one row per customer -- is joined exactly with the
+  eligible ids, a join of two unique-keyed sides that cannot skew;
 * one hash shuffle on customer id (+ salt for hot customers) feeds the
   one-pass history aggregate; scores, labels and filters are narrow;
 * metro and arm attributes join the (small) result back to customers; the
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..config import SegmentConfig
 from ..functions.dates import ntz
-from ..operators import eligibility, history, scoring, segments, skew
+from ..operators import eligibility, history, scoring, segments, semijoin
 from ..sources.tables import Tables
 from . import strategy
 
@@ -37,24 +37,28 @@ def customer_history(tables: Tables, cfg: SegmentConfig, with_value: bool = Fals
                      broadcast: bool | None = None) -> DataFrame:
     """Order history of every eligible customer (before the regularity test).
 
-    ``broadcast`` forces the join strategy; None decides by counting.
+    ``broadcast`` forces (True) or forbids (False) broadcasting the eligible
+    ids into the orders scan; None decides by counting.
     """
     ids = eligible(tables, cfg)
     delivered = history.delivered_orders(tables.orders, cfg)
-    if broadcast is None:
-        # Customers passing the row predicates bound the eligible ids from
-        # above (the subscription semi-join only removes rows), and are
-        # cheaper to count.
-        bound = tables.customers.filter(eligibility.customer_filter(cfg)).select("id")
-        broadcast, plan = strategy.probe_orders_pass(bound, delivered, cfg)
-    else:
-        plan = skew.plan_shuffle(delivered, cfg)
-    if broadcast:
+    # Customers passing the row predicates bound the eligible ids from above
+    # (the subscription semi-join only removes rows) and are cheaper to count.
+    bound = tables.customers.filter(eligibility.customer_filter(cfg)).select("id")
+    n_ids, plan = strategy.probe_orders_pass(bound, delivered, cfg)
+    how, bits = strategy.orders_join(tables.orders.sparkSession, cfg, n_ids, broadcast)
+    if how == "broadcast":
         rows = delivered.join(
             F.broadcast(ids.select(F.col("cid").alias("customer_id"))), "customer_id", "left_semi"
         )
         return history.order_history(rows, cfg, with_value, plan)
-    per_customer = history.order_history(delivered, cfg, with_value, plan)
+    rows = delivered
+    if how == "bitmap":
+        rows = semijoin.keep_members(delivered, semijoin.bitmap(ids, "cid", bits),
+                                     "customer_id", bits)
+    # Aggregate first; the exact join is then between two unique-keyed,
+    # customer-scale sides (and drops the bitmap's false positives).
+    per_customer = history.order_history(rows, cfg, with_value, plan)
     return per_customer.join(ids, "cid", "inner")
 
 

@@ -39,22 +39,40 @@ def fits_broadcast(df: DataFrame, cfg: SegmentConfig, row_bytes: int | None = No
     return rows * (row_bytes or cfg.broadcast_row_bytes) <= budget
 
 
-def probe_orders_pass(ids: DataFrame, delivered: DataFrame, cfg: SegmentConfig,
-                      id_bytes: int | None = None) -> tuple[bool, skew.ShufflePlan]:
-    """Decide the orders-pass plan: (broadcast the eligible ids?, shuffle plan).
+def probe_orders_pass(ids: DataFrame, delivered: DataFrame,
+                      cfg: SegmentConfig) -> tuple[int, skew.ShufflePlan]:
+    """Measure what the orders-pass plan depends on: (id count, shuffle plan).
 
     ``ids`` is the broadcast candidate or any superset of it. Two small,
-    independent jobs run concurrently: the count of ``ids``, and
-    the sample of all delivered orders that sizes the shuffle and finds hot
-    customers (absolute sizes, so the same plan serves both paths).
+    independent jobs run concurrently: the count of ``ids``, and the sample
+    of all delivered orders that sizes the shuffle and finds hot customers
+    (absolute sizes, so the same plan serves every join strategy).
     """
     # Threads inherit the caller's job group / scheduler pool, so the probe
     # is cancelled and accounted together with the job that needs it.
     inherit = inheritable_thread_target(ids.sparkSession)
     with ThreadPoolExecutor(max_workers=2) as pool:
-        fits = pool.submit(inherit(fits_broadcast), ids, cfg, id_bytes)
+        count = pool.submit(inherit(ids.count))
         shuffle = pool.submit(inherit(skew.plan_shuffle), delivered, cfg)
-        return fits.result(), shuffle.result()
+        return count.result(), shuffle.result()
+
+
+def orders_join(spark: SparkSession, cfg: SegmentConfig, n_ids: int,
+                broadcast: bool | None = None) -> tuple[str, int]:
+    """How orders meet the eligible ids: ("broadcast", 0) when ``n_ids`` ids
+    fit the budget; else ("bitmap", bits) for a map-side prefilter whose
+    broadcast is bounded by the same budget; else ("none", 0).
+    ``broadcast`` True/False forces or forbids the exact broadcast."""
+    budget = broadcast_budget(spark, cfg)
+    if broadcast is None:
+        broadcast = budget > 0 and n_ids * cfg.broadcast_row_bytes <= budget
+    if broadcast:
+        return "broadcast", 0
+    bits = 64 * (max(budget, 0) // cfg.bitmap_row_bytes)
+    # With more ids than bits most non-members would pass: not worth it.
+    if cfg.prefilter and bits > 0 and n_ids <= bits:
+        return "bitmap", bits
+    return "none", 0
 
 
 def bounded_broadcast(df: DataFrame, cfg: SegmentConfig, row_bytes: int = 128) -> DataFrame:

@@ -76,6 +76,12 @@ def test_pushdown_and_pruning_on_real_tables(spark, tmp_path):
     assert "GreaterThanOrEqual(created_at" in cust_scan and "LessThan(created_at" in cust_scan
     assert "IsNull(deleted_at)" in cust_scan
     assert lists.base_list(t, CFG).count() == 7
+    # Eligible ids not broadcast: orders meet a broadcast bitmap before the
+    # shuffle, then the exact join after the aggregate; same answer.
+    nb = lists.base_from(lists.labelled(lists.regular_history(t, CFG, broadcast=False), CFG), CFG)
+    text = plan(nb)
+    assert "_word" in text and "BroadcastHashJoin" in text
+    assert same_rows(nb, lists.base_list(t, CFG))
 
 
 def test_salted_and_shuffled_paths_equal_broadcast_path(spark, fx01):

@@ -1,10 +1,12 @@
 """Shuffle volume, jobs and stages per plan, read from Spark's event log.
 
-    python tools/shuffle_report.py [sf_dir]
+    python tools/shuffle_report.py [sf_dir] [--real]
 
 Writes the event log to a fresh scratch folder (no UI, no server) and
-prints one JSON line per plan: the one-pass base list, the one-pass detail
-list, and the literal two-scan base list kept in bench.py as a control.
+prints one JSON line per plan: the one-pass base and detail lists, the
+literal two-scan base list kept in bench.py as a control, and the base list
+when the eligible ids may not be broadcast -- with the bitmap prefilter and
+with every delivered order aggregated.
 """
 
 from __future__ import annotations
@@ -61,7 +63,8 @@ def summarize(folder: str) -> dict:
 
 
 def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    sf_dir = args[0] if args else "/root/testdata/sf0.1"
     scratch = tempfile.mkdtemp(prefix="ebbtide-report-")
     logs = os.path.join(scratch, "events")
     os.makedirs(logs)
@@ -84,10 +87,33 @@ def main() -> None:
     tune(spark)
     cfg = SegmentConfig(as_of=FIXTURE_AS_OF)
     t = fixtures.tables(spark, sf_dir)
+    if "--real" in sys.argv:
+        # Materialise the mapped tables as real-schema Parquet: the test
+        # mapping derives every customer attribute from the id, which lets
+        # Catalyst copy customer predicates onto orders; real tables cannot.
+        from ebbtide.sources import schemas
+        from ebbtide.sources import tables as tables_mod
+
+        paths = {}
+        for name, df, schema in [("customers", t.customers, schemas.CUSTOMERS),
+                                 ("orders", t.orders, schemas.ORDERS),
+                                 ("subscriptions", t.subscriptions, schemas.SUBSCRIPTIONS),
+                                 ("metros", t.metros, schemas.METROS)]:
+            paths[name] = os.path.join(scratch, "tables", name)
+            tables_mod.conform(df, schema).write.parquet(paths[name])
+        t = tables_mod.load(spark, paths["customers"], paths["orders"],
+                            paths["subscriptions"], paths["metros"])
+
+    def no_broadcast(c):
+        return lambda: lists.base_from(
+            lists.labelled(lists.regular_history(t, c, broadcast=False), c), c).collect()
+
     plans = {
         "one_pass_base": lambda: lists.base_list(t, cfg).collect(),
         "one_pass_details": lambda: lists.detail_list(t, cfg).collect(),
         "two_scan_base": lambda: two_scan_base(t, cfg).collect(),
+        "no_broadcast_bitmap_base": no_broadcast(cfg),
+        "no_broadcast_all_orders_base": no_broadcast(cfg.replace(prefilter=False)),
     }
     for name, fn in plans.items():
         fn()  # warm-up, not counted
