@@ -147,3 +147,17 @@ def test_shuffle_plan_sizes_from_volume_and_splits_hot_keys():
     assert skew.plan_from(rows, cfg, session_partitions=8).partitions == 36
     # nothing sampled: keep everything as it is
     assert skew.plan_from([{"k": None, "n": None}], cfg, 8) == skew.ShufflePlan()
+
+
+def test_bitmap_prefilter_keeps_every_member_and_is_bounded(spark):
+    from ebbtide.operators import semijoin
+
+    members = spark.range(0, 3000, 3).withColumnRenamed("id", "cid")  # 1,000 ids
+    bits = 1 << 13
+    bm = semijoin.bitmap(members, "cid", bits)
+    assert bm.count() <= bits // 64
+    probe = spark.range(0, 6000).withColumnRenamed("id", "customer_id")
+    kept = {r[0] for r in semijoin.keep_members(probe, bm, "customer_id", bits).collect()}
+    assert set(range(0, 3000, 3)) <= kept  # no false negatives
+    outsiders = len(kept) - 1000
+    assert outsiders < 0.25 * 5000  # ~1 - exp(-1000/8192) = 11.5% expected
