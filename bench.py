@@ -82,6 +82,9 @@ def main() -> None:
         "list_test": lambda: len(lists.test_list(tables, cfg).collect()),
         "list_details": lambda: len(lists.detail_list(tables, cfg).collect()),
         "all_lists_one_pass": all_four,
+        # the path taken when the eligible ids exceed the broadcast budget
+        "list_base_bitmap_path": lambda: len(lists.base_from(lists.labelled(
+            lists.regular_history(tables, cfg, broadcast=False), cfg), cfg).collect()),
         "control_list_base_two_scan": lambda: len(two_scan_base(tables, cfg).collect()),
     }
     times: dict[str, float] = {}

@@ -33,6 +33,8 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--out-format", default="parquet")
     p.add_argument("--lists", default="base,metro,test,details",
                    help="comma-separated subset of base,metro,test,details")
+    p.add_argument("--explain", action="store_true",
+                   help="print the formatted physical plans instead of running")
     return p.parse_args(argv)
 
 
@@ -48,6 +50,15 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
                     fmt=args.format)
     cfg = SegmentConfig(as_of=resolve_as_of(args.as_of))
     wanted = [x.strip() for x in args.lists.split(",") if x.strip()]
+    if getattr(args, "explain", False):
+        # Plans of the single lists (the probe jobs still run: they decide
+        # the plan); nothing is written.
+        single = {"base": lists.base_list, "metro": lists.metro_list,
+                  "test": lists.test_list, "details": lists.detail_list}
+        for name in wanted:
+            print(f"== {name} ==")
+            single[name](t, cfg).explain(mode="formatted")
+        return {}
     out = lists.all_lists(t, cfg)
     written = {}
     for name in wanted:
