@@ -104,8 +104,10 @@ class SegmentConfig:
     # Estimated bytes per broadcast row of a long-keyed hash relation.
     broadcast_row_bytes: int = 48
     # Beyond the budget, filter orders map-side with a hashed bitmap of the
-    # eligible ids sized to the same budget (bounded whatever their number).
+    # eligible ids. Its broadcast is bounded by bitmap_max_bytes whatever the
+    # number of ids (64 MB = 134M bits: ~7% false positives at 10M ids).
     prefilter: bool = True
+    bitmap_max_bytes: int = 64 * 1024 * 1024
     bitmap_row_bytes: int = 32
     # Fraction of delivered orders sampled to size the orders shuffle and to
     # find hot customer ids; 0 turns both off (session partitions, no salt).

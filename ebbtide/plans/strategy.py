@@ -61,14 +61,15 @@ def orders_join(spark: SparkSession, cfg: SegmentConfig, n_ids: int,
                 broadcast: bool | None = None) -> tuple[str, int]:
     """How orders meet the eligible ids: ("broadcast", 0) when ``n_ids`` ids
     fit the budget; else ("bitmap", bits) for a map-side prefilter whose
-    broadcast is bounded by the same budget; else ("none", 0).
+    broadcast is bounded by ``cfg.bitmap_max_bytes``; else ("none", 0).
     ``broadcast`` True/False forces or forbids the exact broadcast."""
     budget = broadcast_budget(spark, cfg)
     if broadcast is None:
         broadcast = budget > 0 and n_ids * cfg.broadcast_row_bytes <= budget
     if broadcast:
         return "broadcast", 0
-    bits = 64 * (max(budget, 0) // cfg.bitmap_row_bytes)
+    # At most bits/64 rows of bitmap_row_bytes each: a bound set by config.
+    bits = 64 * (max(cfg.bitmap_max_bytes, 0) // cfg.bitmap_row_bytes)
     # With more ids than bits most non-members would pass: not worth it.
     if cfg.prefilter and bits > 0 and n_ids <= bits:
         return "bitmap", bits
