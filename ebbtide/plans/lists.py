@@ -8,11 +8,13 @@ Plan shape (orders is the only large input):
   delivered orders are semi-joined against a broadcast of them: a map-side
   filter, so only eligible customers' orders reach the shuffle;
   otherwise orders are filtered map-side by a hashed bitmap of the eligible
-  ids (bounded by the same budget, no false negatives), aggregated, and the
+  ids (bounded by ``cfg.bitmap_max_bytes``, no false negatives), aggregated,
+  and the
   per-customer result -- one row per customer -- is joined exactly with the
   eligible ids, a join of two unique-keyed sides that cannot skew;
-* one hash shuffle on customer id (+ salt for hot customers) feeds the
-  one-pass history aggregate; scores, labels and filters are narrow;
+* one hash shuffle on customer id (+ salt for hot customers, partition count
+  from the sampled volume) feeds the one-pass history aggregate; scores,
+  labels and filters are narrow;
 * metro and arm attributes join the (small) result back to customers; the
   metro table is broadcast only after counting it.
 """
