@@ -91,8 +91,11 @@ def test_salted_and_shuffled_paths_equal_broadcast_path(spark, fx01):
                              max_shuffle_partitions=16)
     salted = lists.customer_history(fx01, salted_cfg, with_value=True, broadcast=True)
     salted_shuffled = lists.customer_history(fx01, salted_cfg, with_value=True, broadcast=False)
+    all_orders = lists.customer_history(fx01, CFG.replace(prefilter=False), with_value=True,
+                                        broadcast=False)
     assert plain.count() == 204
     assert same_rows(plain, shuffled)
+    assert same_rows(plain, all_orders)
     assert same_rows(plain, salted)
     assert same_rows(plain, salted_shuffled)
 
