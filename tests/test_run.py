@@ -45,3 +45,15 @@ def test_views(spark):
     n = spark.sql("SELECT count(*) FROM lapse_list").first()[0]
     m = spark.sql("SELECT count(*) FROM lapse_list_metro").first()[0]
     assert (n, m) == (7, 6)
+
+
+def test_checkpoints_go_to_the_configured_folder(spark):
+    from ebbtide.plans import strategy
+
+    # the test session names spark.checkpoint.dir (see session.local_session)
+    configured = spark.conf.get("spark.checkpoint.dir")
+    folder = strategy.checkpoint_dir(spark)
+    # Spark adds one folder per application under the configured one
+    assert configured.rstrip("/") in folder
+    df = strategy.reliable(spark.range(10))
+    assert df.count() == 10
