@@ -1,8 +1,10 @@
 """Run the segmentation as a batch job.
 
-    spark-submit -m ebbtide.run --customers s3://.../customers \\
+    spark-submit --py-files ebbtide.zip run_lists.py --customers <path> \\
         --orders ... --subscriptions ... --metros ... \\
-        --as-of "2020-08-14 12:00:00" --out s3://.../lists
+        --as-of "2020-08-14 12:00:00" --out <folder>
+
+    (locally: python -m ebbtide.run <same arguments>)
 
 Reads the four tables, computes all lists in one pass over orders and
 writes them under ``<out>/{base,metro,test,details}``, partitioned by run
