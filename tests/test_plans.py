@@ -164,3 +164,16 @@ def test_bitmap_prefilter_keeps_every_member_and_is_bounded(spark):
     assert set(range(0, 3000, 3)) <= kept  # no false negatives
     outsiders = len(kept) - 1000
     assert outsiders < 0.25 * 5000  # ~1 - exp(-1000/8192) = 11.5% expected
+
+
+def test_salted_plan_shape(fx01):
+    cfg = CFG.replace(skew_sample_fraction=1.0, target_partition_bytes=512,
+                      max_shuffle_partitions=16)
+    text = plan(lists.customer_history(fx01, cfg, broadcast=True))
+    args = [x for x in text.split("\n") if x.startswith("Arguments: hashpartitioning")]
+    orders_side = [a for a in args if "customer_id" in a]
+    # one big exchange on (customer, salt) with the sized count, then one
+    # small exchange on the customer to merge the salted partial rows
+    assert len(orders_side) == 2
+    assert "salt" in orders_side[0] and "REPARTITION_BY_NUM" in orders_side[0]
+    assert "salt" not in orders_side[1] and "ENSURE_REQUIREMENTS" in orders_side[1]
