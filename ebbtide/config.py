@@ -130,6 +130,17 @@ class SegmentConfig:
         _dt.datetime.fromisoformat(self.as_of)
         if self.target_partition_bytes <= 0 or self.max_shuffle_partitions <= 0:
             raise ValueError("target_partition_bytes and max_shuffle_partitions must be positive")
+        if len(self.window_names) < 2:
+            raise ValueError("need the newest window and at least one baseline window")
+        if list(self.cohort_edges) != sorted(self.cohort_edges):
+            raise ValueError("cohort_edges must be ascending")
+        for name in ("cohort_names", "stopper_factors", "magnitude_cuts", "stopper_labels",
+                     "decreaser_labels"):
+            if len(getattr(self, name)) != 3:
+                raise ValueError(f"{name} needs one entry per cohort (3)")
+        for arm in self.arms:
+            if arm.lo > arm.hi:
+                raise ValueError(f"arm {arm.label!r} has an empty bucket range")
 
     @property
     def n_windows(self) -> int:
