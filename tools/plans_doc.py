@@ -62,7 +62,7 @@ def main() -> None:
     t = tables_mod.load(spark, paths["customers"], paths["orders"], paths["subscriptions"],
                         paths["metros"])
     cfg = SegmentConfig(as_of=FIXTURE_AS_OF)
-    salted = cfg.replace(skew_sample_fraction=1.0, target_partition_bytes=4096,
+    salted = cfg.replace(skew_sample_fraction=1.0, target_partition_bytes=512,
                          max_shuffle_partitions=16)
 
     def via(c, broadcast):
