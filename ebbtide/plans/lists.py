@@ -90,14 +90,21 @@ def base_from(declining: DataFrame, cfg: SegmentConfig) -> DataFrame:
     )
 
 
+def _with_attrs(declining: DataFrame, tables: Tables, *cols: str) -> DataFrame:
+    """Attach customer attributes (inner join on the customer key: every
+    listed id is a customer, so no row is lost) unless already carried."""
+    if all(c in declining.columns for c in cols):
+        return declining
+    return declining.join(tables.customers.select(F.col("id").alias("cid"), *cols), "cid", "inner")
+
+
 def metro_from(declining: DataFrame, tables: Tables, cfg: SegmentConfig) -> DataFrame:
     """Customers without a metro, or with an unknown one, are not listed."""
-    attrs = tables.customers.select(F.col("id").alias("cid"), "metro_id")
     metros = strategy.bounded_broadcast(
         tables.metros.select(F.col("id").alias("metro_id"), F.col("name").alias("metro")), cfg
     )
     return (
-        declining.join(attrs, "cid", "inner")
+        _with_attrs(declining, tables, "metro_id")
         .join(metros, "metro_id", "inner")
         .select(_run_date(cfg).alias("date"), F.col("cid").alias("customer_id"), "metro",
                 "sub_group")
@@ -106,8 +113,7 @@ def metro_from(declining: DataFrame, tables: Tables, cfg: SegmentConfig) -> Data
 
 def test_from(declining: DataFrame, tables: Tables, cfg: SegmentConfig) -> DataFrame:
     """Every listed customer is kept; outside both bucket ranges the arm is NULL."""
-    attrs = tables.customers.select(F.col("id").alias("cid"), "bucket_number")
-    return declining.join(attrs, "cid", "inner").select(
+    return _with_attrs(declining, tables, "bucket_number").select(
         _run_date(cfg).alias("date"),
         F.col("cid").alias("customer_id"),
         "sub_group",
@@ -155,11 +161,13 @@ def detail_list(tables: Tables, cfg: SegmentConfig) -> DataFrame:
 def all_lists(tables: Tables, cfg: SegmentConfig) -> dict[str, DataFrame]:
     """All four lists from a single pass over orders.
 
-    The declining customers (with value measures) are checkpointed to the
-    shared checkpoint folder, then each list is a cheap projection/join of
-    that small table.
+    The declining customers (with value measures, metro id and bucket) are
+    checkpointed to the shared checkpoint folder, then each list is a cheap
+    projection of that small table (the metro list also joins the counted
+    metros broadcast).
     """
-    declining = strategy.reliable(declining_customers(tables, cfg, with_value=True))
+    declining = strategy.reliable(_with_attrs(
+        declining_customers(tables, cfg, with_value=True), tables, "metro_id", "bucket_number"))
     return {
         "base": base_from(declining, cfg),
         "metro": metro_from(declining, tables, cfg),
