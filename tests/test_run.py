@@ -57,3 +57,15 @@ def test_checkpoints_go_to_the_configured_folder(spark):
     assert configured.rstrip("/") in folder
     df = strategy.reliable(spark.range(10))
     assert df.count() == 10
+
+
+def test_job_explain_prints_plans_and_writes_nothing(spark, tmp_path, capsys):
+    p = _write_inputs(spark, tmp_path / "in")
+    out = tmp_path / "out"
+    argv = ["--customers", p["customers"], "--orders", p["orders"], "--subscriptions",
+            p["subscriptions"], "--metros", p["metros"], "--as-of", FIXTURE_AS_OF,
+            "--out", str(out), "--lists", "base,metro", "--explain"]
+    assert run.run(spark, run.parse(argv)) == {}
+    text = capsys.readouterr().out
+    assert "== base ==" in text and "== metro ==" in text and "PushedFilters" in text
+    assert not out.exists()
