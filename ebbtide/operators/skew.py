@@ -72,21 +72,32 @@ def sample_counts(df: DataFrame, cfg: SegmentConfig, key: str = "customer_id") -
 
 
 def summary(counts: DataFrame, limit: int = MAX_HOT_KEYS) -> DataFrame:
-    """(k, n) rows: the sample total (k NULL) and the ``limit`` largest keys.
+    """(total, k, n) rows: the sample total (total = true) and the ``limit``
+    largest keys.
 
     Both parts read the same aggregation exchange, which Spark reuses; only
     a bounded number of rows leaves the cluster.
     """
-    top = counts.orderBy(F.col("n").desc()).limit(limit)
+    top = counts.orderBy(F.col("n").desc()).limit(limit).select(
+        F.lit(False).alias("total"), "k", "n")
     total = counts.agg(F.sum("n").alias("n")).select(
-        F.lit(None).cast(counts.schema["k"].dataType).alias("k"), "n")
+        F.lit(True).alias("total"), F.lit(None).cast(counts.schema["k"].dataType).alias("k"),
+        "n")
     return top.unionByName(total)
 
 
+def _is_total(r) -> bool:
+    """The sample-total row of ``summary`` (rows without the flag: k NULL)."""
+    try:
+        return bool(r["total"])
+    except (KeyError, ValueError, IndexError):
+        return r["k"] is None
+
+
 def plan_from(rows, cfg: SegmentConfig, session_partitions: int) -> ShufflePlan:
     """Turn collected ``summary`` rows into a shuffle plan."""
     fraction = min(cfg.skew_sample_fraction, 1.0)
-    sampled = sum(r["n"] or 0 for r in rows if r["k"] is None)
+    sampled = sum(r["n"] or 0 for r in rows if _is_total(r))
     if sampled == 0:
         return ShufflePlan()
     target = cfg.target_partition_bytes
@@ -95,7 +106,7 @@ def plan_from(rows, cfg: SegmentConfig, session_partitions: int) -> ShufflePlan:
     parts = max(session_partitions, needed)
     hot = []
     for r in rows:
-        if r["k"] is None:
+        if _is_total(r) or r["k"] is None:
             continue
         key_bytes = r["n"] / fraction * cfg.shuffle_row_bytes
         if key_bytes > target:

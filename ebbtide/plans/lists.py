@@ -43,7 +43,10 @@ def customer_history(tables: Tables, cfg: SegmentConfig, with_value: bool = Fals
     ids into the orders scan; None decides by counting.
     """
     ids = eligible(tables, cfg)
-    delivered = history.delivered_orders(tables.orders, cfg)
+    # An order without a customer id can never match a customer; dropping it
+    # here keeps it out of the probe and out of a NULL-key group in one task.
+    delivered = history.delivered_orders(tables.orders, cfg).filter(
+        F.col("customer_id").isNotNull())
     # Customers passing the row predicates bound the eligible ids from above
     # (the subscription semi-join only removes rows) and are cheaper to count.
     bound = tables.customers.filter(eligibility.customer_filter(cfg)).select("id")

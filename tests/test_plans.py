@@ -150,6 +150,10 @@ def test_shuffle_plan_sizes_from_volume_and_splits_hot_keys():
     assert skew.plan_from(rows, cfg, session_partitions=8).partitions == 36
     # nothing sampled: keep everything as it is
     assert skew.plan_from([{"k": None, "n": None}], cfg, 8) == skew.ShufflePlan()
+    # a NULL-key group is neither the total nor a hot key
+    flagged = [{"total": True, "k": None, "n": 1_000_000},
+               {"total": False, "k": None, "n": 900_000}, {"total": False, "k": 5, "n": 400_000}]
+    assert skew.plan_from(flagged, cfg, 200) == p
 
 
 def test_bitmap_prefilter_keeps_every_member_and_is_bounded(spark):
