@@ -71,15 +71,18 @@ def sample_counts(df: DataFrame, cfg: SegmentConfig, key: str = "customer_id") -
     )
 
 
-def summary(counts: DataFrame, limit: int = MAX_HOT_KEYS) -> DataFrame:
+def summary(counts: DataFrame, limit: int = MAX_HOT_KEYS, min_n: float = 0.0) -> DataFrame:
     """(total, k, n) rows: the sample total (total = true) and the ``limit``
-    largest keys.
+    largest keys with more than ``min_n`` sampled rows.
 
     Both parts read the same aggregation exchange, which Spark reuses; only
-    a bounded number of rows leaves the cluster.
+    a bounded number of rows leaves the cluster. The ``min_n`` filter runs
+    before the top-k, so the single task that merges the per-partition tops
+    only sees candidate keys, not up to ``limit`` rows per partition.
     """
-    top = counts.orderBy(F.col("n").desc()).limit(limit).select(
-        F.lit(False).alias("total"), "k", "n")
+    top = (counts.filter(F.col("n") > F.lit(min_n))
+           .orderBy(F.col("n").desc()).limit(limit)
+           .select(F.lit(False).alias("total"), "k", "n"))
     total = counts.agg(F.sum("n").alias("n")).select(
         F.lit(True).alias("total"), F.lit(None).cast(counts.schema["k"].dataType).alias("k"),
         "n")
@@ -118,7 +121,9 @@ def plan_shuffle(df: DataFrame, cfg: SegmentConfig, key: str = "customer_id") ->
     """One small job over a sample of ``df``'s key column."""
     if cfg.skew_sample_fraction <= 0:
         return ShufflePlan()
-    rows = summary(sample_counts(df, cfg, key)).collect()
+    # A key can only be hot with more sampled rows than this (known up front).
+    min_n = cfg.target_partition_bytes * min(cfg.skew_sample_fraction, 1.0) / cfg.shuffle_row_bytes
+    rows = summary(sample_counts(df, cfg, key), min_n=min_n).collect()
     return plan_from(rows, cfg, shuffle_partitions(df.sparkSession))
 
 
