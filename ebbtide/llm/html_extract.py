@@ -64,7 +64,8 @@ PRIOR_INSIDE = frozenset("p h1 h2 h3 h4 h5 h6 br b i em strong blockquote pre co
 @dataclass
 class Weights:
     word: float = 1.0
-    boilerplate_word: float = -2.0
+    #: Of words and tags of menus, adverts and the like, which are left out anyway: little, so that a region may span them.
+    boilerplate: float = -0.1
     tags: dict[str, float] = field(default_factory=dict)
     learned_boilerplate: frozenset = frozenset()
 
@@ -106,6 +107,7 @@ class Page:
                     self.tokens.append((None, m["raw"].lower(), m["raw"].lower(), out, inside, True))
                 continue
             name = name.lower()
+            at_tag = out
             if m["close"]:
                 kind = name
                 for k in range(len(stack) - 1, -1, -1):
@@ -122,7 +124,7 @@ class Page:
                     elif name in BOILERPLATE or (name == "header" and not inside) or kind in weights.learned_boilerplate or (name not in ("html", "body") and parts & BOILERPLATE_NAMES):
                         out = True
                     stack.append((name, out, inside))
-            self.tokens.append((None, kind, name, out, inside, name not in INLINE))
+            self.tokens.append((None, kind, name, out or at_tag, inside, name not in INLINE))
         if at < len(source):
             self.tokens.append((source[at:], "", "", out, inside, False))
 
@@ -131,10 +133,9 @@ class Page:
         top, best, start, score = 0.0, (0, 0), 0, 0.0
         for k, (text, kind, name, out, _, _) in enumerate(self.tokens):
             if text is None:
-                score += weights.tag(name, kind)
+                score += weights.boilerplate if out else weights.tag(name, kind)
             else:
-                n = len(text.split())
-                score += n * (weights.boilerplate_word if out else weights.word)
+                score += len(text.split()) * (weights.boilerplate if out else weights.word)
             if score <= 0:
                 score, start = 0.0, k + 1
             elif score > top:

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_extract, langid, ngram_join, pii, sharding
+from . import bpe, decontaminate, html_extract, langid, ngram_join, pii, sharding, warc
 from .scratch import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(_table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
@@ -61,5 +66,6 @@ def all_queries() -> dict[str, Query]:
         "op5_shard": op5_shard,
         "op6_pii": op6_pii,
         "op8_bpe": op8_bpe,
+        "op9_warc": op9_warc,
         "op10_langid": op10_langid,
     }
