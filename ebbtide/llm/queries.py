@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, html_extract, langid, ngram_join, pii, sharding, warc
+from . import bpe, decontaminate, embedding_join, html_extract, langid, ngram_join, pii, sharding, substring_dedup, warc
 from .scratch import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicate(_table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_table(spark, sf_dir, "pages"))
 
@@ -44,6 +48,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, with_ids=False)
@@ -60,12 +68,15 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
         "op2_html_extract": op2_html_extract,
         "op3_ngram_join": op3_ngram_join,
         "op4_decontaminate": op4_decontaminate,
         "op5_shard": op5_shard,
         "op6_pii": op6_pii,
+        "op7_embedding_join": op7_embedding_join,
         "op8_bpe": op8_bpe,
         "op9_warc": op9_warc,
         "op10_langid": op10_langid,
+        "pipeline": corpus_pipeline.run,
     }
