@@ -48,9 +48,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that hold no window of a benchmark item."""
     ship(spark)
-    found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    hit = found.filter("contaminated").select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_anti").select(*docs.columns)
+    return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

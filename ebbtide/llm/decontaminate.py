@@ -155,6 +155,39 @@ def blocks(spark: SparkSession, benchmark: DataFrame, id_col: str = "item_id", t
         yield Block(items)
 
 
+def _prepared(source: DataFrame, benchmark: DataFrame, limit: int) -> Iterator:
+    """The benchmark's blocks with their prefixes chosen over all of ``source``, broadcast."""
+    sc = source.sparkSession.sparkContext
+    for block in blocks(source.sparkSession, benchmark, limit=limit):
+        sent = sc.broadcast(block)
+        counts = {k: np.zeros(len(p[0]), np.int64) for k, p in block.places.items()}
+        for row in _count(source, sent, "text").toLocalIterator():  # at most the block's shingles
+            counts[row.k][row.shingle] = row.n
+        sent.unpersist()
+        block.choose(counts)
+        block.flat = np.concatenate([*block.hashes, np.zeros(0, np.uint64)])
+        block.flat_at = np.cumsum(block.sizes) - block.sizes
+        block.hashes = []
+        yield sc.broadcast(block)
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, unchanged, that hold no window of any item."""
+    kept = docs
+    for block in _prepared(docs.select(F.col(text_col).alias("text")), benchmark, limit):
+
+        def run(batches, block=block):
+            for batch in batches:
+                for rows, words in _words(batch, text_col):
+                    at, _ = _occurrences(words, block.value)
+                    clean = np.ones(rows.num_rows, bool)
+                    clean[np.searchsorted(words.first, at, side="right") - 1] = False
+                    yield rows.filter(pa.array(clean))
+
+        kept = kept.mapInArrow(run, docs.schema)
+    return kept
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: id, n_words, n_hit, spans (word from, to), items.
 
@@ -164,18 +197,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     kind = dict(docs.dtypes)[id_col]
     source = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("fp"))
     schema = f"doc {kind}, n_words bigint, n_hit bigint, spans array<struct<a:bigint,b:bigint>>, items array<string>"
-    parts = []
-    for block in blocks(spark, benchmark, limit=limit):
-        sent = spark.sparkContext.broadcast(block)
-        counts = {k: np.zeros(len(p[0]), np.int64) for k, p in block.places.items()}
-        for row in _count(source, sent, "text").toLocalIterator():  # at most the block's shingles
-            counts[row.k][row.shingle] = row.n
-        block.choose(counts)
-        block.flat = np.concatenate([*block.hashes, np.zeros(0, np.uint64)])
-        block.flat_at = np.cumsum(block.sizes) - block.sizes
-        block.hashes = []
-        sent.unpersist()
-        parts.append(spark.sparkContext.broadcast(block))
+    parts = list(_prepared(source, benchmark, limit))
     if not parts:
         empty = Block([])
         empty.flat, empty.flat_at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
