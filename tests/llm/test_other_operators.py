@@ -11,11 +11,12 @@ import re
 import numpy as np
 import pytest
 
-import brute
 import corpus_pipeline
 from ebbtide.llm import embedding_join, html_extract, oracle, queries, warc
 from ebbtide.llm.scratch import ship
 
+from . import brute
+
 SF001 = "/root/testdata/sf0.001"
 
 

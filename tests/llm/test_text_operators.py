@@ -14,11 +14,12 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-import brute
 from ebbtide.llm import bpe, decontaminate, langid, ngram_join, pii, sharding, substring_dedup
 from ebbtide.llm.components import components
 from ebbtide.llm.scratch import ship
 
+from . import brute
+
 
 @pytest.fixture(scope="module", autouse=True)
 def shipped(spark):
