@@ -38,7 +38,7 @@ from .words import SPACED, gram_hashes, mix, split, text_slices
 WINDOW = 50
 GRAM = 8
 SHARD_WORDS = 1 << 18
-HOT_ROWS = 10_000
+HOT_ROWS = 1 << 15
 #: Bits of the reducer that keeps documents without repeats out of the shuffles.
 REDUCER_BITS = 1 << 24
 _PLACE = np.uint64(26)  # bits of a word's place beside its hash: texts of up to 2 ** 26 words
@@ -83,7 +83,7 @@ class FMIndex:
         rank = text + len(sequences)
         rank[ends] = np.arange(len(sequences))  # every end is a symbol of its own
         #: Ranks of suffixes by their first 1, 2, 4 ... symbols.
-        self.ranks = [rank]
+        self.ranks = [rank.astype(np.int32)]
         self.order = np.zeros(0, np.int64)
         width = 1
         while True:
@@ -95,7 +95,7 @@ class FMIndex:
             new = np.empty(n, np.int64)
             new[order] = np.cumsum(np.concatenate([[0], step[1:] != step[:-1]])) if n else []
             rank, width = new, width * 2
-            self.ranks.append(rank)
+            self.ranks.append(rank.astype(np.int32))
             if n == 0 or rank.max() == n - 1:
                 self.order = order
                 break
@@ -330,29 +330,43 @@ def _indexed(segments: DataFrame, tasks: int, window: int, shard_words: int) ->
 
 
 def _hot_spans(texts: DataFrame, window: int) -> DataFrame:
-    """(doc, fp, a, b) of hot anchors' windows, by the hash of the whole window."""
+    """(doc, fp, a, b) to remove in hot anchors' segments, by hashes of whole segments and whole windows.
+
+    Equal segments are aggregated to one before their windows are taken apart;
+    a document whose segment a smaller one has too loses all of it.
+    """
 
     def run(batches):
+        kinds = {"w1": pa.list_(pa.int64()), "w2": pa.list_(pa.int64())}
         for batch in batches:
             for rows, data, at in text_slices(batch, "text"):
                 words = split(data, at, SPACED)
                 h = words.hashes()
                 one = gram_hashes(h, window)
                 two = gram_hashes(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), window)
-                doc, fp, s = [], [], []
-                for k, (d, f, runs) in enumerate(zip(rows.column(0).to_pylist(), rows.column(2).to_pylist(), rows.column(3).to_pylist(), strict=True)):
-                    own = np.concatenate([np.arange(r["s"], r["s"] + r["n"] + 1) for r in runs])
-                    doc.append(np.full(len(own), d)), fp.append(np.full(len(own), f)), s.append(own + words.first[k])
-                doc, fp, s = (np.concatenate(x) for x in (doc, fp, s))
-                text = np.searchsorted(words.first, s, side="right") - 1
-                yield pa.RecordBatch.from_pydict({
-                    "w1": pa.array(one[s].view(np.int64)), "w2": pa.array(two[s].view(np.int64)), "doc": pa.array(doc, pa.int64()),
-                    "fp": pa.array(fp, pa.int64()), "a": pa.array(s - words.first[text], pa.int64()),
-                })
-
-    rows = texts.mapInArrow(run, "w1 bigint, w2 bigint, doc bigint, fp bigint, a bigint")
-    least = rows.groupBy("w1", "w2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most")
-    return rows.join(least, ["w1", "w2"]).filter("least < doc").select("doc", "fp", "a", (F.col("a") + window).alias("b"))
+                out: dict[str, list] = {c: [] for c in ("k1", "k2", "doc", "fp", "s", "n", "w1", "w2")}
+                for k, (doc, fp, runs) in enumerate(zip(rows.column(0).to_pylist(), rows.column(2).to_pylist(), rows.column(3).to_pylist(), strict=True)):
+                    for r in runs:
+                        own = slice(words.first[k] + r["s"], words.first[k] + r["s"] + r["n"] + 1)
+                        w1, w2 = one[own], two[own]
+                        out["w1"].append(w1.view(np.int64)), out["w2"].append(w2.view(np.int64))
+                        out["k1"].append(int(gram_hashes(w1, len(w1)).view(np.int64)[0])), out["k2"].append(int(gram_hashes(w2, len(w2)).view(np.int64)[0]))
+                        out["doc"].append(doc), out["fp"].append(fp), out["s"].append(r["s"]), out["n"].append(r["n"])
+                yield pa.RecordBatch.from_pydict({c: pa.array(v, kinds.get(c, pa.int64())) for c, v in out.items()})
+
+    rows = texts.mapInArrow(run, "k1 bigint, k2 bigint, doc bigint, fp bigint, s bigint, n bigint, w1 array<bigint>, w2 array<bigint>")
+    segments = rows.groupBy("k1", "k2").agg(F.min("doc").alias("least"), F.first("w1").alias("w1"), F.first("w2").alias("w2"))
+    windows = segments.select("k1", "k2", "least", F.posexplode(F.arrays_zip("w1", "w2")).alias("at", "w")).select("k1", "k2", "least", "at", "w.w1", "w.w2")
+    held = windows.groupBy("w1", "w2").agg(F.min("least").alias("smallest"), F.max("least").alias("largest")).filter("smallest < largest")
+    own = windows.join(held, ["w1", "w2"]).filter("smallest < least").groupBy("k1", "k2").agg(F.min("at").alias("x"), F.max("at").alias("y"))
+    # windows between the first and the last removed one are covered by them: starts are less than a window apart
+    gone = rows.select("k1", "k2", "doc", "fp", "s", "n").join(segments.select("k1", "k2", "least"), ["k1", "k2"]).join(own, ["k1", "k2"], "left")
+    whole = F.col("doc") > F.col("least")
+    return gone.filter(whole | F.col("x").isNotNull()).select(
+        "doc", "fp",
+        (F.col("s") + F.when(whole, 0).otherwise(F.col("x"))).alias("a"),
+        (F.col("s") + F.when(whole, F.col("n")).otherwise(F.col("y")) + window).alias("b"),
+    )
 
 
 def _maybe(docs: DataFrame, mask: DataFrame) -> DataFrame:
