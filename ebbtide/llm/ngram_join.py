@@ -11,11 +11,11 @@ may still follow the shared shingle is enough) and the suffix filter (halving
 both sets around a probe shingle), and are then verified once on whole sets.
 
 Documents with equal sets are one node from the start. A group of copies would
-make pairs in the square of its size, so pairs are taken in rounds: in each, a
-shared shingle links its documents to one hub only, verified links are merged
-into components, and shingles whose documents are all in one component are
-done. What is left when little is left (or after ``ROUNDS``) is joined in full
-between different components, so that no link between components is missed.
+make pairs in the square of its size, so a shingle of over ``SMALL`` nodes pairs
+them with one hub at first. Verified links are merged into components, shingles
+whose nodes are all in one component are done, and the rest gets another hub in
+the next round, until little is left (or after ``ROUNDS``): that is joined in
+full between different components, so that no link between components is missed.
 
 Documents without words have no set and link with nothing; with fewer than
 ``K`` words the whole sequence is the one shingle. Null texts have no words.
@@ -27,12 +27,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.semijoin import bitmap, keep_members
 from .components import components
-from .scratch import drop_stored, stored
+from .scratch import stored
 from .words import LOWER, SPACED, Words, gram_hashes, mix, split, text_slices
 
 K = 5
@@ -42,9 +43,13 @@ COUNTER_BITS = 20
 PART = 1 << 12
 #: Bits of the reducer that keeps documents without candidates out of a shuffle.
 REDUCER_BITS = 1 << 24
-#: Rounds of hubs at most, and pairs a row at which the rest is joined in full.
+#: Shingles of so many nodes at most are joined in full at once; others get rounds of hubs.
+SMALL = 16
+#: Rounds at most (the last joins in full), and pairs a row below which the rest is joined in full.
 ROUNDS = 5
-FULL_BELOW = 4
+FULL_BELOW = 16
+#: Pairs whose sets are held at once.
+PAIRS = 256
 
 
 def _grams(words: Words, k: int) -> list[np.ndarray]:
@@ -99,6 +104,10 @@ def _rarity(docs: DataFrame, k: int) -> np.ndarray:
     return out.reshape(-1)
 
 
+def _fingerprint(shingles: np.ndarray) -> int:
+    return int(mix(shingles).sum(dtype=np.uint64).astype(np.int64))
+
+
 def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """(doc, n, node, check, prefix): the set's size, two fingerprints, and its rarest shingles."""
     spark = docs.sparkSession
@@ -113,7 +122,7 @@ def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
                 for s in sets:
                     m = len(s)
                     n.append(m)
-                    node.append(int(mix(s).sum(dtype=np.uint64).astype(np.int64)))
+                    node.append(_fingerprint(s))
                     check.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
                     token = (rank[s >> shift].astype(np.uint64) << np.uint64(48)) | (s & np.uint64((1 << 48) - 1))
                     token.sort()
@@ -132,9 +141,9 @@ def _alike(percent: int, na: str = "na", nb: str = "nb") -> str:
 
 
 def _enough(percent: int) -> str:
-    """Positional filter: the shared shingle, what may precede it in both, and what may follow."""
+    """Positional filter: what may follow suffices if this is the pair's first shared shingle (which every link passes)."""
     need = f"ceil({percent}.0 * (na + nb) / {100 + percent})"
-    return f"least(pa, pb) + 1 + least(na - pa - 1, nb - pb - 1) >= {need}"
+    return f"1 + least(na - pa - 1, nb - pb - 1) >= {need}"
 
 
 def may_overlap(x: np.ndarray, y: np.ndarray, need: int, depth: int = 2) -> bool:
@@ -151,113 +160,153 @@ def _bound(x: np.ndarray, y: np.ndarray, depth: int) -> int:
     return _bound(x[:at], y[:mid], depth - 1) + there + _bound(x[at + there :], y[mid + 1 :], depth - 1)
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
+def _needed(nx: int, ny: int, percent: int) -> int:
+    return -(-percent * (nx + ny) // (100 + percent))
 
-    def run(batches):
-        for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            ok = []
-            for i in range(batch.num_rows):
-                x, y = np.frombuffer(left[i].as_buffer(), "<u8"), np.frombuffer(right[i].as_buffer(), "<u8")
-                need = -(-percent * (len(x) + len(y)) // (100 + percent))
-                if not may_overlap(x, y, need):
-                    ok.append(False)
-                    continue
-                at = np.searchsorted(x, y)
-                both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
-    with_b = with_a.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
-    return with_b.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
-
-
-def _shared(described: DataFrame, reps: DataFrame) -> DataFrame:
-    """(token, node, n, pos, hub) of every prefix shingle that two nodes or more have."""
-    rows = described.filter("n > 0").select("node", F.col("n").cast("long").alias("n"), F.posexplode("prefix").alias("pos", "token"))
-    first = rows.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last").select("token", "hub")
-    size = F.shiftleft("n", 32)  # size and place travel as one long
-    packed = rows.select("token", "node", (size + F.col("pos")).alias("np"))
-    found = packed.join(first, "token").repartition("token", "node").dropDuplicates(["token", "node"])
-    return found.select("token", "node", F.shiftright("np", 32).alias("n"), F.expr("np & 4294967295").alias("pos"), "hub")
+
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    """Common values of two ascending sets."""
+    if not len(x) or not len(y):
+        return 0
+    at = np.searchsorted(x, y)
+    return int((x[np.minimum(at, len(x) - 1)] == y).sum())
 
 
-def _sets(docs: DataFrame, reps: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(node, s): whole sets of these nodes, from one document each."""
+def prefixes_allow(x: np.ndarray, nx: int, y: np.ndarray, ny: int, percent: int) -> bool:
+    """Bounds the overlap by the prefixes: exact up to where the first one ends, all of the rest beyond."""
+    last = min(x[-1], y[-1])
+    rx, ry = int(np.searchsorted(x, last, "right")), int(np.searchsorted(y, last, "right"))
+    return _common(x[:rx], y[:ry]) + min(nx - rx, ny - ry) >= _needed(nx, ny, percent)
+
+
+def _heads(described: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, n, prefix) of these nodes, once each."""
+    mask = bitmap(nodes, "node", REDUCER_BITS)
+    return keep_members(described.filter("n > 0").select("node", "n", "prefix"), mask, "node", REDUCER_BITS).dropDuplicates(["node"])
+
+
+def _wanted_texts(docs: DataFrame, reps: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """(node, text) of these nodes, from one document each."""
     wanted = stored(reps.join(nodes, "node").select("node", "doc"), "wanted")
     mask = bitmap(wanted, "doc", REDUCER_BITS)
     texts = keep_members(docs, mask, "doc", REDUCER_BITS).join(wanted, "doc").select("node", "text")
 
-    def run(batches):
+    def run(batches):  # an id that is there with another text too must not lend it to the node
         for batch in batches:
             for rows, sets in _texts(batch, k):
-                yield pa.RecordBatch.from_pydict({"node": rows.column(0), "s": pa.array([s.tobytes() for s in sets], pa.binary())})
+                own = pa.array([_fingerprint(s) for s in sets], pa.int64())
+                yield rows.filter(pc.equal(rows.column(0), own))
+
+    return texts.mapInArrow(run, "node bigint, text string").dropDuplicates(["node"])
 
-    return texts.mapInArrow(run, "node bigint, s binary").dropDuplicates(["node"])
 
+def _both(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    """Pairs with these columns of both nodes."""
+    x = table.select(F.col("node").alias("a"), *[F.col(c).alias(c + "_a") for c in columns])
+    y = table.select(F.col("node").alias("b"), *[F.col(c).alias(c + "_b") for c in columns])
+    return pairs.join(x, "a").join(y, "b")
 
-def _star(rows: DataFrame, percent: int) -> DataFrame:
-    """Candidates between each token's hub and its other nodes, of other components."""
-    hub = rows.filter("node = hub").select("token", F.col("node").alias("h"), F.col("n").alias("hn"), F.col("pos").alias("hp"), F.col("root").alias("hr"))
-    met = rows.join(hub, "token").filter("node <> h and root <> hr")
-    met = met.selectExpr("least(node, h) as a", "greatest(node, h) as b", "n as na", "hn as nb", "pos as pa", "hp as pb")
-    return met.filter(_alike(percent)).filter(_enough(percent)).select("a", "b").distinct()
+
+def verify(pairs: DataFrame, docs: DataFrame, described: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link: bounded by their prefixes, then verified on whole texts."""
+
+    def bounded(batches):
+        for batch in batches:
+            na, nb = batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist()
+            x, y = batch.column("prefix_a"), batch.column("prefix_b")
+            ok = [
+                prefixes_allow(x[i].values.to_numpy().view(np.uint64), na[i], y[i].values.to_numpy().view(np.uint64), nb[i], percent)
+                for i in range(batch.num_rows)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    def checked(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, PAIRS):
+                batch = whole.slice(at, PAIRS)
+                x, y = ([s for _, sets in _texts(batch.select([c]).rename_columns(["text"]), k) for s in sets] for c in ("text_a", "text_b"))
+                ok = []
+                for s, t in zip(x, y, strict=True):
+                    need = _needed(len(s), len(t), percent)
+                    ok.append(may_overlap(s, t, need) and _common(s, t) >= need)
+                yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    left = stored(_both(pairs, _heads(described, nodes), "n", "prefix").select("a", "b", "n_a", "n_b", "prefix_a", "prefix_b").mapInArrow(bounded, "a bigint, b bigint"), "bounded")
+    nodes = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = _wanted_texts(docs, reps, nodes, k)
+    return _both(left, texts, "text").select("a", "b", "text_a", "text_b").mapInArrow(checked, "a bigint, b bigint")
+
+
+def _shared(described: DataFrame) -> DataFrame:
+    """(token, node, n, pos, c) of prefix shingles that c > 1 nodes have.
+
+    Of shingles with the same nodes, only the first in order is kept: it shows
+    all their pairs, and is the first shared one of those where any of them is.
+    """
+    rows = described.filter("n > 0").select("node", F.col("n").cast("long").alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    first = rows.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last").select("token")
+    packed = rows.select("token", "node", (F.shiftleft("n", 32) + F.col("pos")).alias("np"))  # size and place travel as one long
+    found = stored(packed.join(first, "token").repartition("token", "node").dropDuplicates(["token", "node"]), "found")
+    # The order of tokens is that of unsigned numbers: flip the sign to compare.
+    order = F.expr("token ^ (-9223372036854775807L - 1L)")
+    total = lambda seed: F.sum(F.xxhash64("node", F.lit(seed)).cast("decimal(38,0)"))
+    who = found.groupBy("token").agg(F.count(F.lit(1)).alias("c"), total(1).alias("s1"), total(2).alias("s2"))
+    kept = who.groupBy("c", "s1", "s2").agg(F.min_by("token", order).alias("token")).select("token", "c")
+    out = found.join(kept, "token")
+    return out.select("token", "node", F.shiftright("np", 32).alias("n"), F.expr("np & 4294967295").alias("pos"), "c")
+
+
+def _star(rows: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Candidates between one hub of each token and its other nodes, of other components."""
+    hub = rows.groupBy("token").agg(F.min_by(F.struct("node", "n", "pos", "root"), F.xxhash64("node", F.lit(turn))).alias("h"))
+    met = rows.join(hub, "token").filter("node <> h.node and root <> h.root")
+    met = met.selectExpr("least(node, h.node) as a", "greatest(node, h.node) as b", "n as na", "h.n as nb", "pos as pa", "h.pos as pb")
+    return met.filter(_alike(percent)).filter(_enough(percent)).select("a", "b")
 
 
 def _full(rows: DataFrame, percent: int) -> DataFrame:
     """All candidates between nodes of different components."""
     x = rows.selectExpr("token", "node as a", "n as na", "pos as pa", "root as ra")
-    y = rows.selectExpr("token", "node as b", "n as nb", "pos as pb", "root as rb")
-    met = x.join(y, (x.token == y.token) & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & F.expr(_alike(percent)) & F.expr(_enough(percent)))
-    return met.select("a", "b").distinct()
-
-
-def _labelled(live: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return live.withColumn("root", F.col("node"))
-    return live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    y = rows.selectExpr("token as token_b", "node as b", "n as nb", "pos as pb", "root as rb")
+    met = x.join(y, F.expr(f"token = token_b and a < b and ra <> rb and {_alike(percent)} and {_enough(percent)}"))
+    return met.select("a", "b")
 
 
-def linked(docs: DataFrame, described: DataFrame, reps: DataFrame, k: int, percent: int, rounds: int = ROUNDS) -> DataFrame | None:
+def linked(docs: DataFrame, described: DataFrame, reps: DataFrame, k: int, percent: int, rounds: int = ROUNDS, small: int = SMALL) -> DataFrame | None:
     """(node, root) of the nodes that have links, or None without any."""
-    live = stored(_shared(described, reps), "shared")
-    if live.isEmpty():
+    rows = stored(_shared(described).withColumn("root", F.col("node")), "shared")
+    if rows.isEmpty():
         return None
-    sets = stored(_sets(docs, reps, live.select("node").distinct(), k), "sets")
-    links = tested = roots = None
-    rows = _labelled(live, None)
+    tested = roots = None
     for turn in range(rounds + 1):
-        last = turn == rounds
-        if turn:
-            by_root = rows.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
-            by_token = by_root.groupBy("token").agg(F.sum("c").alias("c"), F.sum(F.expr("cast(c as decimal(38,0)) * c")).alias("cc"), F.count(F.lit(1)).alias("roots")).filter("roots > 1")
-            open_tokens = stored(by_token, "open")
-            left = open_tokens.agg(F.sum("c"), F.sum(F.expr("(cast(c as decimal(38,0)) * c - cc) / 2"))).first()
-            if not left[0]:
-                break
-            last = last or left[1] <= FULL_BELOW * left[0]
-            # another hub for every token: the node that a hash of this round puts first
-            hubs = rows.join(open_tokens.select("token"), "token")
-            chosen = hubs.groupBy("token").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("hub"))
-            rows = stored(hubs.drop("hub").join(chosen, "token"), "rows")
-        pairs = _full(rows, percent) if last else _star(rows, percent)
+        if turn == rounds:
+            pairs = _full(rows, percent)
+        elif turn == 0:
+            pairs = _full(rows.filter(F.col("c") <= small), percent).unionAll(_star(rows.filter(F.col("c") > small), percent, turn))
+        else:
+            pairs = _star(rows, percent, turn)
+        pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        found = stored(verify(pairs, sets, percent), "links")
-        links = found if links is None else links.unionAll(found)
-        tested = pairs if tested is None else tested.unionAll(pairs)
-        if roots is None:
-            roots = components(links)
-        else:  # links join components: only these and the stars so far are needed
-            roots = components(links.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-        roots = stored(roots, "roots")
-        if last:
+        links = verify(pairs, docs, described, reps, k, percent)
+        if roots is not None:  # earlier links are held by their components' stars
+            links = links.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        roots = stored(components(links), "roots")
+        if turn == rounds:
+            break
+        # Shingles of one component are done, and so are the small ones once they were joined in full.
+        rows = rows.drop("root").filter(F.col("c") > (small if turn == 0 else 1)).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("all")).filter("low < high")
+        rows = stored(rows.join(mixed.select("token"), "token"), "rows")
+        by_root = rows.groupBy("token", "root").agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("m"))
+        work = by_root.groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.expr("m * m")).alias("mm")).agg(F.sum("m"), F.sum(F.expr("(m * m - mm) / 2"))).first()
+        if not work[0]:
             break
-        rows = stored(_labelled(rows.drop("root"), roots), "rows")
-    drop_stored(sets)
+        if work[1] <= FULL_BELOW * work[0] or turn + 2 >= rounds:
+            rounds = turn + 1  # the next is the full join
+        tested = pairs if tested is None else tested.unionAll(pairs)
     return roots
 
 
