@@ -34,7 +34,7 @@ from .components import components
 from .scratch import stored
 
 THRESHOLD = 0.9
-BLOCK_DIM = 8
+BLOCK_DIM = 16
 #: Homes of a cell that a task holds at once, and visitors compared with them at once.
 CHUNK = 8192
 TILE = 512
@@ -217,6 +217,9 @@ class Unit:
         self.ids = np.zeros(0, np.int64)
         self.n = np.zeros(0, np.int64)
         self.x = np.zeros((0, layout.dim))
+        self.cut = slice(layout.edges[block], layout.edges[block + 1])
+        #: Homes in the block's coordinates so that one product gives squared distances.
+        self.sides = np.zeros((0, self.cut.stop - self.cut.start + 2), np.float32)
         self.links = np.zeros(0, np.int64)
         self.root = np.zeros(0, np.int64)
         self.edges: list[tuple[np.ndarray, np.ndarray]] = []
@@ -225,6 +228,8 @@ class Unit:
     def add_homes(self, ids: np.ndarray, n: np.ndarray, x: np.ndarray) -> None:
         at = len(self.ids)
         self.ids, self.n, self.x = np.concatenate([self.ids, ids]), np.concatenate([self.n, n]), np.concatenate([self.x, x])
+        own = x[:, self.cut].astype(np.float32)
+        self.sides = np.concatenate([self.sides, np.hstack([-2 * own, np.ones((len(own), 1), np.float32), (own * own).sum(axis=1, keepdims=True)])])
         self.links = np.concatenate([self.links, np.zeros(len(ids), np.int64)])
         self.root = np.concatenate([self.root, np.arange(at, at + len(ids))])
         for a in range(at, len(self.ids), TILE):
@@ -238,13 +243,13 @@ class Unit:
     def _meet(self, ids: np.ndarray, n: np.ndarray, x: np.ndarray, own: int | None) -> None:
         """Compares a tile with the homes (its own tile and those before it, if it is one of them)."""
         lay, b = self.layout, self.block
-        cut = slice(lay.edges[b], lay.edges[b + 1])
         until = len(self.ids) if own is None else own + len(ids)
         if not until:
             return
-        h, v = self.x[:until, cut].astype(np.float32), x[:, cut].astype(np.float32)
-        d = (v * v).sum(axis=1)[:, None] + (h * h).sum(axis=1)[None, :] - 2 * (v @ h.T)
-        i, j = np.nonzero(d <= lay.budget[b] + 1e-5)
+        v = x[:, self.cut].astype(np.float32)
+        v = np.hstack([v, (v * v).sum(axis=1, keepdims=True), np.ones((len(v), 1), np.float32)])
+        near = np.flatnonzero((v @ self.sides[:until].T).ravel() <= np.float32(lay.budget[b] + 1e-5))
+        i, j = near // until, near % until
         if own is not None:
             below = j < i + own
             i, j = i[below], j[below]
