@@ -45,9 +45,9 @@ PART = 1 << 12
 REDUCER_BITS = 1 << 24
 #: Shingles of so many nodes at most are joined in full at once; others get rounds of hubs.
 SMALL = 16
-#: Rounds at most (the last joins in full), and pairs a row below which the rest is joined in full.
+#: Rounds at most (the last joins in full), and the pairs left, by the rows at the start, at which that is done.
 ROUNDS = 5
-FULL_BELOW = 16
+FULL_BELOW = 4
 #: Pairs whose sets are held at once.
 PAIRS = 256
 
@@ -276,7 +276,8 @@ def _full(rows: DataFrame, percent: int) -> DataFrame:
 def linked(docs: DataFrame, described: DataFrame, reps: DataFrame, k: int, percent: int, rounds: int = ROUNDS, small: int = SMALL) -> DataFrame | None:
     """(node, root) of the nodes that have links, or None without any."""
     rows = stored(_shared(described).withColumn("root", F.col("node")), "shared")
-    if rows.isEmpty():
+    volume = rows.count()
+    if not volume:
         return None
     tested = roots = None
     for turn in range(rounds + 1):
@@ -304,7 +305,7 @@ def linked(docs: DataFrame, described: DataFrame, reps: DataFrame, k: int, perce
         work = by_root.groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.expr("m * m")).alias("mm")).agg(F.sum("m"), F.sum(F.expr("(m * m - mm) / 2"))).first()
         if not work[0]:
             break
-        if work[1] <= FULL_BELOW * work[0] or turn + 2 >= rounds:
+        if work[1] <= FULL_BELOW * volume or turn + 2 >= rounds:
             rounds = turn + 1  # the next is the full join
         tested = pairs if tested is None else tested.unionAll(pairs)
     return roots

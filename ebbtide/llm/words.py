@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes handled at once; one longer text is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 IDENTITY = np.arange(256, dtype=np.uint8)
 LOWER = IDENTITY.copy()
