@@ -24,7 +24,7 @@ TIME_STRETCH = 7
 SIGNUP_BASE = "2019-01-01"
 CUSTOMER_DELETED = "2020-01-01 00:00:00"
 SUBSCRIPTION_EVENT = "2020-02-01 00:00:00"
-MISSING_METRO = 24
+UNKNOWN_METRO = 100
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,7 +86,9 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         payment.alias("stripe_customer_id"),
         name.alias("name"),
         ctype.alias("customer_type"),
-        F.when(_mod(c, 19) != 4, F.col("c_nationkey")).cast("int").alias("metro_id"),
+        F.when(_mod(c, 19) == 4, F.lit(None))
+        .when(_mod(c, 11) == 7, _mod(c, 5) + UNKNOWN_METRO)
+        .otherwise(F.col("c_nationkey")).cast("long").alias("metro_id"),
         _mod(c, 104).cast("int").alias("bucket_number"),
     )
 
@@ -97,7 +99,9 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     when_event = lambda m, r: F.when(_mod(c, m) == r, ntz(SUBSCRIPTION_EVENT))
     first = cu.select(
         c.alias("customer_id"),
-        F.when(_mod(c, 13) == 8, F.lit("gift")).otherwise(F.lit("platform")).alias("origination"),
+        F.when(_mod(c, 13) == 8, F.lit("gift"))
+        .when(_mod(c, 5) == 1, F.lit("whitelabel"))
+        .otherwise(F.lit("platform")).alias("origination"),
         when_event(17, 3).alias("deleted_at"),
         when_event(43, 9).alias("trial_abandon_time"),
         when_event(47, 12).alias("churn_payment_time"),
@@ -115,9 +119,7 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def metros(spark: SparkSession, sf_dir: str) -> DataFrame:
     na = _read(spark, sf_dir, "nation")
-    return na.filter(F.col("n_nationkey") != MISSING_METRO).select(
-        F.col("n_nationkey").cast("int").alias("id"), F.col("n_name").alias("name")
-    )
+    return na.select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"))
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:

@@ -12,8 +12,9 @@ CUSTOMERS = T.StructType(
         T.StructField("stripe_customer_id", T.StringType(), True),
         T.StructField("name", T.StringType(), True),
         T.StructField("customer_type", T.StringType(), True),
-        T.StructField("metro_id", T.IntegerType(), True),
-        T.StructField("bucket_number", T.IntegerType(), True),
+        T.StructField("metro_id", T.LongType(), True),
+        # not an integer: a bucket between the arms' ranges must stay in none
+        T.StructField("bucket_number", T.DoubleType(), True),
     ]
 )
 
@@ -40,7 +41,7 @@ SUBSCRIPTIONS = T.StructType(
 
 METROS = T.StructType(
     [
-        T.StructField("id", T.IntegerType(), False),
+        T.StructField("id", T.LongType(), False),
         T.StructField("name", T.StringType(), True),
     ]
 )

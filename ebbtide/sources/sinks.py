@@ -24,11 +24,21 @@ def write_list(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     )
 
 
-def write_table(df: DataFrame, table: str) -> None:
-    """Into a catalog table (created on first use), same partitioning."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(date_column(df))
-        .saveAsTable(table)
-    )
+def write_table(df: DataFrame, table: str, fmt: str = "parquet") -> None:
+    """Into a catalog table (created on first use): replaces the dates written, and only these."""
+    spark = df.sparkSession
+    by = date_column(df)
+    ordered = df.select(*[c for c in df.columns if c != by], by)  # insertInto goes by position, partitions last
+    if not spark.catalog.tableExists(table):
+        ordered.limit(0).write.format(fmt).partitionBy(by).saveAsTable(table)
+    known = spark.table(table).columns
+    if known != ordered.columns:
+        raise ValueError(f"{table} has columns {known}, not {ordered.columns}")
+    # insertInto takes the mode from the session only, not from write options
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "dynamic")
+    try:
+        ordered.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)

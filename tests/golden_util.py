@@ -19,7 +19,8 @@ DEFAULT = object()
 def customer(id, created="2019-06-01 10:00:00", deleted=None, payment=DEFAULT, name="Jo",
              ctype="consumer", metro=1, bucket=10):
     pay = f"cus_{id}" if payment is DEFAULT else payment
-    return (id, ts(created), deleted and ts(deleted), pay, name, ctype, metro, bucket)
+    return (id, ts(created), deleted and ts(deleted), pay, name, ctype, metro,
+            None if bucket is None else float(bucket))
 
 
 def order(id, cid, created, status="delivered", delivered=True, subtotal="10.00"):
