@@ -101,16 +101,23 @@ class SegmentConfig:
     # counted size stays under this many bytes; None = the session's
     # spark.sql.autoBroadcastJoinThreshold.
     broadcast_max_bytes: int | None = None
-    # Estimated bytes per broadcast row of a long-keyed hash relation.
-    broadcast_row_bytes: int = 48
+    # Bytes per broadcast row of a long-keyed hash relation (measured dataSize: 83.9).
+    broadcast_row_bytes: int = 84
     # Beyond the budget, filter orders map-side with a hashed bitmap of the
     # eligible ids. Its broadcast is bounded by bitmap_max_bytes whatever the
-    # number of ids (64 MB = 134M bits: ~7% false positives at 10M ids).
+    # number of ids (64 MB = 107M bits: ~9% false positives at 10M ids; with
+    # more ids than bits it only filters less). A row measures 40.0 bytes.
     prefilter: bool = True
     bitmap_max_bytes: int = 64 * 1024 * 1024
-    bitmap_row_bytes: int = 32
-    # Fraction of delivered orders sampled to size the orders shuffle and to
-    # find hot customer ids; 0 turns both off (session partitions, no salt).
+    bitmap_row_bytes: int = 40
+    # Layout of orders: True where files are laid out by created_at. Then the
+    # customers with an order in the recency range, read through a pushed
+    # range that prunes files, reduce the ids that the orders pass keeps.
+    # Off when min_recent < 1, where lapsed customers may be listed too.
+    orders_by_created_at: bool = False
+    # Fraction of delivered orders that a first run samples to size the orders
+    # shuffle and to find hot customer ids; 0 turns both off (session
+    # partitions, no salt). Later runs use the counts that a run saved.
     # A key matters once it fills a target partition (~2.8M rows of 48 B), so
     # 0.1% still samples ~2,800 of its rows.
     skew_sample_fraction: float = 0.001
@@ -121,15 +128,14 @@ class SegmentConfig:
     target_partition_bytes: int = 128 * 1024 * 1024
     # Estimated bytes of one shuffled order row (ids, timestamp, value).
     shuffle_row_bytes: int = 48
-    max_shuffle_partitions: int = 200_000
 
     def __post_init__(self):
         # Fail fast on a malformed clock instead of a NULL/ANSI cast error later.
         import datetime as _dt
 
         _dt.datetime.fromisoformat(self.as_of)
-        if self.target_partition_bytes <= 0 or self.max_shuffle_partitions <= 0:
-            raise ValueError("target_partition_bytes and max_shuffle_partitions must be positive")
+        if self.target_partition_bytes <= 0:
+            raise ValueError("target_partition_bytes must be positive")
         if len(self.window_names) < 2:
             raise ValueError("need the newest window and at least one baseline window")
         if list(self.cohort_edges) != sorted(self.cohort_edges):
@@ -154,3 +160,5 @@ class SegmentConfig:
 # that all fixed values above stay as they are).
 FIXTURE_AS_OF = "2020-08-14 12:00:00"
 FIXTURE_AS_OF_MIDNIGHT = "2020-08-14 00:00:00"
+FIXTURE_AS_OF_MONTH_END = "2020-07-31 18:30:00"
+FIXTURE_NO_ORDERS = "2021-03-01 09:00:00"  # long after the last order of the fixtures

@@ -32,10 +32,13 @@ def day_start(ts: Column) -> Column:
     return F.to_date(ts).cast("timestamp_ntz")
 
 
-def day_in(ts: Column, lo: Column, hi: Column) -> Column:
-    """The calendar day of ``ts`` (as midnight) lies in the closed range
-    [lo, hi] of timestamps."""
-    return day_start(ts).between(lo, hi)
+def day_within(ts: Column, lo: Column, hi: Column) -> Column:
+    """``day_start(ts) BETWEEN lo AND hi`` written on the raw column: the edges
+    become constant days, so nothing is computed per row and the reader can
+    prune on the range."""
+    first = F.when(day_start(lo) == lo, day_start(lo)).otherwise(
+        F.timestamp_add("DAY", F.lit(1), day_start(lo)))
+    return (ts >= first) & (ts < F.timestamp_add("DAY", F.lit(1), day_start(hi)))
 
 
 def days_between(start: Column, end: Column) -> Column:

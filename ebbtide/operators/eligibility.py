@@ -68,12 +68,12 @@ def active_subscribers(subscriptions: DataFrame, cfg: SegmentConfig) -> DataFram
 
 
 def eligible_customers(customers: DataFrame, subscriptions: DataFrame,
-                       cfg: SegmentConfig) -> DataFrame:
-    """``cid`` of every customer passing all eligibility tests.
+                       cfg: SegmentConfig, *attrs: str) -> DataFrame:
+    """``cid`` (and ``attrs``) of every customer passing all eligibility tests.
 
     A customer with several active subscription rows appears once (semi-join);
     the joined variant would multiply only the recency count, which is only
     ever tested for >= 1, so every list is unchanged.
     """
-    base = customers.filter(customer_filter(cfg)).select(F.col("id").alias("cid"))
+    base = customers.filter(customer_filter(cfg)).select(F.col("id").alias("cid"), *attrs)
     return base.join(active_subscribers(subscriptions, cfg), "cid", "left_semi")

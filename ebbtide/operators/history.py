@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..config import SegmentConfig
 from ..functions.arith import ratio
-from ..functions.dates import day_start, days_before, months_before, ntz
+from ..functions.dates import day_within, days_before, months_before, ntz
 from . import skew
 
 
@@ -36,6 +36,14 @@ def delivered_orders(orders: DataFrame, cfg: SegmentConfig) -> DataFrame:
     ).select("id", "customer_id", "created_at", "actual_subtotal")
 
 
+def recent_customers(orders: DataFrame, cfg: SegmentConfig) -> DataFrame:
+    """Distinct ids of customers with a delivered order in the recency range
+    (a range on the raw column, pushed to the scan)."""
+    rows = delivered_orders(orders, cfg).filter(
+        day_within(F.col("created_at"), *edges(cfg).recency) & F.col("customer_id").isNotNull())
+    return rows.select(F.col("customer_id").alias("cid")).distinct()
+
+
 @dataclass(frozen=True)
 class Edges:
     now: Column
@@ -73,15 +81,15 @@ def gmv_col(cfg: SegmentConfig, k: int) -> str:
 
 
 def _partial_aggs(cfg: SegmentConfig, e: Edges, with_value: bool) -> list[Column]:
-    day = day_start(F.col("created_at"))
+    at = F.col("created_at")
     aggs = [
         F.min("created_at").alias("_first"),
         F.max("created_at").alias("_last"),
         F.count_distinct("id").alias("_n"),
-        F.count_if(day.between(*e.recency)).alias("_rec"),
+        F.count_if(day_within(at, *e.recency)).alias("_rec"),
     ]
     for k, (lo, hi) in enumerate(e.windows):
-        inside = day.between(lo, hi)
+        inside = day_within(at, lo, hi)
         aggs.append(F.count_if(inside).alias(f"_c{k}"))
         if with_value:
             value = F.when(inside, F.col("actual_subtotal"))
@@ -136,22 +144,21 @@ def order_history(delivered: DataFrame, cfg: SegmentConfig, with_value: bool = F
                   plan: skew.ShufflePlan | None = None) -> DataFrame:
     """One row per customer id found in ``delivered``.
 
-    ``plan`` (see ``skew.plan_shuffle``) gives the hot customers to salt and,
-    when the volume needs it, an explicit partition count.
+    ``plan`` (see ``skew``) says which customers to salt and, when the volume
+    needs it, gives an explicit partition count.
     """
     e = edges(cfg)
     plan = plan or skew.ShufflePlan()
-    hot = plan.hot
     rows = delivered  # unused columns are pruned below the shuffle by Catalyst
     keys = ["customer_id"]
-    if hot:
-        rows = skew.with_salt(rows, hot)
+    if plan.salted:
+        rows = skew.with_salt(rows, plan)
         keys.append(skew.SALT)
     # Without an explicit count AQE may coalesce the partitions further.
     shuffled = (rows.repartition(plan.partitions, *keys) if plan.partitions
                 else rows.repartition(*keys))
     per_key = shuffled.groupBy(*keys).agg(*_partial_aggs(cfg, e, with_value))
-    if hot:
+    if plan.salted:
         per_key = per_key.groupBy("customer_id").agg(*_merge_aggs(cfg, with_value))
     return _finish(per_key, cfg, e, with_value)
 

@@ -11,7 +11,8 @@ repeating them.
 
 from __future__ import annotations
 
-from .config import FIXTURE_AS_OF, FIXTURE_AS_OF_MIDNIGHT, SegmentConfig
+from .config import (FIXTURE_AS_OF, FIXTURE_AS_OF_MIDNIGHT, FIXTURE_AS_OF_MONTH_END, FIXTURE_NO_ORDERS,
+                     SegmentConfig)
 from .sources import fixtures as fx
 
 
@@ -42,7 +43,9 @@ customers AS (
          CASE WHEN {c} % 20 = 2 THEN 'BUSINESS'
               WHEN {c} % 20 = 3 THEN NULL
               ELSE 'consumer' END AS customer_type,
-         CAST(CASE WHEN {c} % 19 = 4 THEN NULL ELSE c_nationkey END AS INTEGER) AS metro_id,
+         CAST(CASE WHEN {c} % 19 = 4 THEN NULL
+                   WHEN {c} % 11 = 7 THEN {c} % 5 + {fx.UNKNOWN_METRO}
+                   ELSE c_nationkey END AS BIGINT) AS metro_id,
          CAST({c} % 104 AS INTEGER) AS bucket_number
   FROM customer
 ),
@@ -61,7 +64,8 @@ orders AS (
 ),
 subscription_base AS (
   SELECT {c} AS customer_id,
-         CASE WHEN {c} % 13 = 8 THEN 'gift' ELSE 'platform' END AS origination,
+         CASE WHEN {c} % 13 = 8 THEN 'gift' WHEN {c} % 5 = 1 THEN 'whitelabel'
+              ELSE 'platform' END AS origination,
          CASE WHEN {c} % 17 = 3 THEN TIMESTAMP {_q(fx.SUBSCRIPTION_EVENT)} END AS deleted_at,
          CASE WHEN {c} % 43 = 9 THEN TIMESTAMP {_q(fx.SUBSCRIPTION_EVENT)} END AS trial_abandon_time,
          CASE WHEN {c} % 47 = 12 THEN TIMESTAMP {_q(fx.SUBSCRIPTION_EVENT)} END AS churn_payment_time
@@ -71,8 +75,8 @@ subscription_base AS (
   FROM customer WHERE {c} % 3 = 0
 ),
 metros AS (
-  SELECT CAST(n_nationkey AS INTEGER) AS id, n_name AS name
-  FROM nation WHERE n_nationkey <> {fx.MISSING_METRO}
+  SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name
+  FROM nation
 )"""
 
 
@@ -358,11 +362,24 @@ def list_queries(s: Sql, suffix: str = "") -> dict[str, str]:
     }
 
 
+def zero_average() -> str:
+    """Scores of customers without any order in the windows: the average is 0."""
+    s = Sql(SegmentConfig(as_of=FIXTURE_NO_ORDERS, min_recent=0))
+    return "WITH " + s.pipeline() + (
+        "\nSELECT cid, monthly_order_count_average, magnitude_index, avg_days_between_orders, "
+        f"days_since_last_transaction, {s.label()} AS sub_group FROM scored")
+
+
 def all_queries() -> dict[str, str]:
     out = queries()
-    midnight = Sql(SegmentConfig(as_of=FIXTURE_AS_OF_MIDNIGHT))
-    out.update(list_queries(midnight, "_midnight"))
+    out.update(list_queries(Sql(SegmentConfig(as_of=FIXTURE_AS_OF_MIDNIGHT)), "_midnight"))
+    out.update(list_queries(Sql(SegmentConfig(as_of=FIXTURE_AS_OF_MONTH_END)), "_month_end"))
+    out["scores_zero_average"] = zero_average()
     # Execution variants of the same lists: same answer, different plans.
-    out["list_base_shuffled"] = out["list_base"]
+    for name in ("base", "metro", "test", "details"):
+        out[f"all_lists_{name}"] = out[f"list_{name}"]
+    for name in ("shuffled", "all_orders", "reduced"):
+        out[f"list_base_{name}"] = out["list_base"]
+    out["list_base_reduced_midnight"] = out["list_base_midnight"]
     out["list_details_salted"] = out["list_details"]
     return out

@@ -3,7 +3,9 @@
 Plan shape (orders is the only large input):
 
 * eligibility: customers scan with pushed predicates, semi-joined with the
-  map-side-distinct active subscribers -> one row per eligible id;
+  map-side-distinct active subscribers -> one row per eligible id; where orders
+  are laid out by date, further semi-joined with the customers that ordered in
+  the recency range (a pushed range on orders);
 * if the eligible ids fit the broadcast budget (counted, not estimated),
   delivered orders are semi-joined against a broadcast of them: a map-side
   filter, so only eligible customers' orders reach the shuffle;
@@ -13,7 +15,7 @@ Plan shape (orders is the only large input):
   per-customer result -- one row per customer -- is joined exactly with the
   eligible ids, a join of two unique-keyed sides that cannot skew;
 * one hash shuffle on customer id (+ salt for hot customers, partition count
-  from the sampled volume) feeds the one-pass history aggregate; scores,
+  from the counts that an earlier run saved, or from a sample on a first run) feeds the one-pass history aggregate; scores,
   labels and filters are narrow;
 * metro and arm attributes join the (small) result back to customers; the
   metro table is broadcast only after counting it.
@@ -26,50 +28,87 @@ from pyspark.sql import functions as F
 
 from ..config import SegmentConfig
 from ..functions.dates import ntz
-from ..operators import eligibility, history, scoring, segments, semijoin
+from ..operators import eligibility, history, scoring, segments, semijoin, skew
 from ..sources.tables import Tables
 from . import strategy
 
 
-def eligible(tables: Tables, cfg: SegmentConfig) -> DataFrame:
-    return eligibility.eligible_customers(tables.customers, tables.subscriptions, cfg)
+def eligible(tables: Tables, cfg: SegmentConfig, *attrs: str) -> DataFrame:
+    return eligibility.eligible_customers(tables.customers, tables.subscriptions, cfg, *attrs)
+
+
+def _candidates(tables: Tables, cfg: SegmentConfig) -> DataFrame:
+    # Customers passing the row predicates bound the eligible ids from above
+    # (the subscription semi-join only removes rows) and are cheaper to count.
+    return tables.customers.filter(eligibility.customer_filter(cfg)).select("id")
+
+
+def _delivered(tables: Tables, cfg: SegmentConfig) -> DataFrame:
+    # An order without a customer id can never match a customer; dropping it
+    # here keeps it out of the sample and out of a NULL-key group in one task.
+    return history.delivered_orders(tables.orders, cfg).filter(F.col("customer_id").isNotNull())
+
+
+def plan_orders(tables: Tables, cfg: SegmentConfig) -> skew.ShufflePlan:
+    """The shuffle plan of a first run, from a sample of delivered orders."""
+    return skew.plan_shuffle(_delivered(tables, cfg), cfg)
+
+
+def _reduced(delivered: DataFrame, ids: DataFrame, how: str, bits: int) -> DataFrame:
+    """Orders that may be those of ``ids``: exactly theirs if broadcast."""
+    if how == "broadcast":
+        keys = ids.select(F.col("cid").alias("customer_id"))
+        return delivered.join(F.broadcast(keys), "customer_id", "left_semi")
+    if how == "bitmap":
+        return semijoin.keep_members(delivered, semijoin.bitmap(ids, "cid", bits), "customer_id", bits)
+    return delivered
+
+
+def customer_orders(tables: Tables, cfg: SegmentConfig, broadcast: bool | None = None) -> DataFrame:
+    """Delivered orders of the eligible customers, one row per order."""
+    ids = eligible(tables, cfg)
+    n_ids = _candidates(tables, cfg).count()
+    how, bits = strategy.orders_join(tables.orders.sparkSession, cfg, n_ids, broadcast)
+    rows = _reduced(_delivered(tables, cfg), ids, how, bits)
+    if how == "broadcast":
+        return rows
+    return rows.join(ids.select(F.col("cid").alias("customer_id")), "customer_id", "left_semi")
 
 
 def customer_history(tables: Tables, cfg: SegmentConfig, with_value: bool = False,
-                     broadcast: bool | None = None) -> DataFrame:
+                     broadcast: bool | None = None, plan: skew.ShufflePlan | None = None,
+                     counts: skew.Counts | None = None, attrs: tuple[str, ...] = (),
+                     recent_only: bool = False) -> DataFrame:
     """Order history of every eligible customer (before the regularity test).
 
     ``broadcast`` forces (True) or forbids (False) broadcasting the eligible
-    ids into the orders scan; None decides by counting.
+    ids into the orders scan; None decides by counting. ``plan`` is the
+    shuffle plan (None: sample one); ``counts`` observes the orders per
+    customer for the next run. ``attrs`` are customer columns to carry.
+    ``recent_only`` may leave out customers without an order in the recency
+    range, which the regularity test would drop.
     """
-    ids = eligible(tables, cfg)
-    # An order without a customer id can never match a customer; dropping it
-    # here keeps it out of the probe and out of a NULL-key group in one task.
-    delivered = history.delivered_orders(tables.orders, cfg).filter(
-        F.col("customer_id").isNotNull())
-    # Customers passing the row predicates bound the eligible ids from above
-    # (the subscription semi-join only removes rows) and are cheaper to count.
-    bound = tables.customers.filter(eligibility.customer_filter(cfg)).select("id")
-    n_ids, plan = strategy.probe_orders_pass(bound, delivered, cfg)
+    ids = eligible(tables, cfg, *attrs)
+    if recent_only and cfg.orders_by_created_at and cfg.min_recent >= 1:
+        ids = ids.join(history.recent_customers(tables.orders, cfg), "cid", "left_semi")
+    delivered = _delivered(tables, cfg)
+    n_ids, plan = strategy.probe_orders_pass(_candidates(tables, cfg), delivered, cfg, plan)
     how, bits = strategy.orders_join(tables.orders.sparkSession, cfg, n_ids, broadcast)
-    if how == "broadcast":
-        rows = delivered.join(
-            F.broadcast(ids.select(F.col("cid").alias("customer_id"))), "customer_id", "left_semi"
-        )
-        return history.order_history(rows, cfg, with_value, plan)
-    rows = delivered
-    if how == "bitmap":
-        rows = semijoin.keep_members(delivered, semijoin.bitmap(ids, "cid", bits),
-                                     "customer_id", bits)
-    # Aggregate first; the exact join is then between two unique-keyed,
+    per_customer = history.order_history(
+        _reduced(delivered, ids, how, bits), cfg, with_value, plan)
+    if counts is not None:
+        per_customer = counts.watch(per_customer)
+    if how == "broadcast" and not attrs:
+        return per_customer
+    # Aggregated first: the exact join is between two unique-keyed,
     # customer-scale sides (and drops the bitmap's false positives).
-    per_customer = history.order_history(rows, cfg, with_value, plan)
     return per_customer.join(ids, "cid", "inner")
 
 
 def regular_history(tables: Tables, cfg: SegmentConfig, with_value: bool = False,
-                    broadcast: bool | None = None) -> DataFrame:
-    return history.regular(customer_history(tables, cfg, with_value, broadcast), cfg)
+                    broadcast: bool | None = None, **options) -> DataFrame:
+    return history.regular(customer_history(
+        tables, cfg, with_value, broadcast, recent_only=True, **options), cfg)
 
 
 def labelled(regular: DataFrame, cfg: SegmentConfig, with_value: bool = False) -> DataFrame:
@@ -79,8 +118,8 @@ def labelled(regular: DataFrame, cfg: SegmentConfig, with_value: bool = False) -
 
 
 def declining_customers(tables: Tables, cfg: SegmentConfig, with_value: bool = False,
-                        broadcast: bool | None = None) -> DataFrame:
-    return labelled(regular_history(tables, cfg, with_value, broadcast), cfg, with_value)
+                        broadcast: bool | None = None, **options) -> DataFrame:
+    return labelled(regular_history(tables, cfg, with_value, broadcast, **options), cfg, with_value)
 
 
 def _run_date(cfg: SegmentConfig):
@@ -141,39 +180,55 @@ def details_from(declining: DataFrame, cfg: SegmentConfig) -> DataFrame:
     )
 
 
-def base_list(tables: Tables, cfg: SegmentConfig) -> DataFrame:
+def base_list(tables: Tables, cfg: SegmentConfig, plan: skew.ShufflePlan | None = None) -> DataFrame:
     """date, customer_id, sub_group."""
-    return base_from(declining_customers(tables, cfg), cfg)
+    return base_from(declining_customers(tables, cfg, plan=plan), cfg)
 
 
-def metro_list(tables: Tables, cfg: SegmentConfig) -> DataFrame:
+def metro_list(tables: Tables, cfg: SegmentConfig, plan: skew.ShufflePlan | None = None) -> DataFrame:
     """date, customer_id, metro, sub_group."""
-    return metro_from(declining_customers(tables, cfg), tables, cfg)
+    return metro_from(declining_customers(tables, cfg, plan=plan), tables, cfg)
 
 
-def test_list(tables: Tables, cfg: SegmentConfig) -> DataFrame:
+def test_list(tables: Tables, cfg: SegmentConfig, plan: skew.ShufflePlan | None = None) -> DataFrame:
     """date, customer_id, sub_group, test_cohort."""
-    return test_from(declining_customers(tables, cfg), tables, cfg)
+    return test_from(declining_customers(tables, cfg, plan=plan), tables, cfg)
 
 
-def detail_list(tables: Tables, cfg: SegmentConfig) -> DataFrame:
+def detail_list(tables: Tables, cfg: SegmentConfig, plan: skew.ShufflePlan | None = None) -> DataFrame:
     """run_date, 23 measures, sub_group (25 columns)."""
-    return details_from(declining_customers(tables, cfg, with_value=True), cfg)
+    return details_from(declining_customers(tables, cfg, with_value=True, plan=plan), cfg)
+
 
+LISTS = ("base", "metro", "test", "details")
 
-def all_lists(tables: Tables, cfg: SegmentConfig) -> dict[str, DataFrame]:
-    """All four lists from a single pass over orders.
 
-    The declining customers (with value measures, metro id and bucket) are
-    checkpointed to the shared checkpoint folder, then each list is a cheap
-    projection of that small table (the metro list also joins the counted
-    metros broadcast).
+def shared_pass(tables: Tables, cfg: SegmentConfig, wanted: tuple[str, ...] = LISTS,
+                plan: skew.ShufflePlan | None = None,
+                counts: skew.Counts | None = None) -> tuple[dict[str, DataFrame], str]:
+    """The wanted lists from a single pass over orders, and the path of the
+    intermediate table that they read (``strategy.discard`` it after use).
+
+    The declining customers, with just what the wanted lists need, are written
+    to the shared folder; each list is a cheap projection of that small table
+    (the metro list also joins the counted metros broadcast).
     """
-    declining = strategy.reliable(_with_attrs(
-        declining_customers(tables, cfg, with_value=True), tables, "metro_id", "bucket_number"))
-    return {
-        "base": base_from(declining, cfg),
-        "metro": metro_from(declining, tables, cfg),
-        "test": test_from(declining, tables, cfg),
-        "details": details_from(declining, cfg),
+    unknown = sorted(set(wanted) - set(LISTS))
+    if unknown:
+        raise ValueError(f"unknown lists: {', '.join(unknown)}")
+    attrs = ("metro_id",) * ("metro" in wanted) + ("bucket_number",) * ("test" in wanted)
+    declining, path = strategy.reliable(declining_customers(
+        tables, cfg, with_value="details" in wanted, plan=plan, counts=counts, attrs=attrs))
+    make = {
+        "base": lambda: base_from(declining, cfg),
+        "metro": lambda: metro_from(declining, tables, cfg),
+        "test": lambda: test_from(declining, tables, cfg),
+        "details": lambda: details_from(declining, cfg),
     }
+    return {name: make[name]() for name in wanted}, path
+
+
+def all_lists(tables: Tables, cfg: SegmentConfig,
+              plan: skew.ShufflePlan | None = None) -> dict[str, DataFrame]:
+    """All four lists from a single pass over orders."""
+    return shared_pass(tables, cfg, plan=plan)[0]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -23,7 +24,7 @@ def broadcast_budget(spark: SparkSession, cfg: SegmentConfig) -> int:
         return cfg.broadcast_max_bytes
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_BROADCAST_BYTES))
     raw = raw.strip().lower()
-    units = {"b": 1, "k": 1024, "kb": 1024, "m": 1024**2, "mb": 1024**2, "g": 1024**3, "gb": 1024**3}
+    units = {"b": 1} | {u + b: 1024**n for n, u in enumerate("kmgtp", 1) for b in ("", "b")}
     for suffix in sorted(units, key=len, reverse=True):
         if raw.endswith(suffix):
             return int(float(raw[: -len(suffix)]) * units[suffix])
@@ -39,15 +40,17 @@ def fits_broadcast(df: DataFrame, cfg: SegmentConfig, row_bytes: int | None = No
     return rows * (row_bytes or cfg.broadcast_row_bytes) <= budget
 
 
-def probe_orders_pass(ids: DataFrame, delivered: DataFrame,
-                      cfg: SegmentConfig) -> tuple[int, skew.ShufflePlan]:
+def probe_orders_pass(ids: DataFrame, delivered: DataFrame, cfg: SegmentConfig,
+                      plan: skew.ShufflePlan | None = None) -> tuple[int, skew.ShufflePlan]:
     """Measure what the orders-pass plan depends on: (id count, shuffle plan).
 
-    ``ids`` is the broadcast candidate or any superset of it. Two small,
-    independent jobs run concurrently: the count of ``ids``, and the sample
-    of all delivered orders that sizes the shuffle and finds hot customers
-    (absolute sizes, so the same plan serves every join strategy).
+    ``ids`` is the broadcast candidate or any superset of it. With a ``plan``
+    (from saved counts) only ``ids`` is counted. Without one, on a first run,
+    a sample of delivered orders sizes the shuffle and finds hot customers in
+    a second, concurrent job; it reads the key column of all orders.
     """
+    if plan is not None:
+        return ids.count(), plan
     # Threads inherit the caller's job group / scheduler pool, so the probe
     # is cancelled and accounted together with the job that needs it.
     inherit = inheritable_thread_target(ids.sparkSession)
@@ -61,8 +64,9 @@ def orders_join(spark: SparkSession, cfg: SegmentConfig, n_ids: int,
                 broadcast: bool | None = None) -> tuple[str, int]:
     """How orders meet the eligible ids: ("broadcast", 0) when ``n_ids`` ids
     fit the budget; else ("bitmap", bits) for a map-side prefilter whose
-    broadcast is bounded by ``cfg.bitmap_max_bytes``; else ("none", 0).
-    ``broadcast`` True/False forces or forbids the exact broadcast."""
+    broadcast is bounded by ``cfg.bitmap_max_bytes``; else ("none", 0), also
+    where the session forbids broadcasts. ``broadcast`` True/False forces or
+    forbids the exact broadcast."""
     budget = broadcast_budget(spark, cfg)
     if broadcast is None:
         broadcast = budget > 0 and n_ids * cfg.broadcast_row_bytes <= budget
@@ -70,8 +74,7 @@ def orders_join(spark: SparkSession, cfg: SegmentConfig, n_ids: int,
         return "broadcast", 0
     # At most bits/64 rows of bitmap_row_bytes each: a bound set by config.
     bits = 64 * (max(cfg.bitmap_max_bytes, 0) // cfg.bitmap_row_bytes)
-    # With more ids than bits most non-members would pass: not worth it.
-    if cfg.prefilter and bits > 0 and n_ids <= bits:
+    if cfg.prefilter and bits > 0 and budget > 0:
         return "bitmap", bits
     return "none", 0
 
@@ -83,7 +86,7 @@ def bounded_broadcast(df: DataFrame, cfg: SegmentConfig, row_bytes: int = 128) -
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for reliable checkpoints.
+    """The shared folder for what a run keeps between its jobs.
 
     Uses the SparkContext's directory or ``spark.checkpoint.dir``; only a
     local-mode session (tests, a laptop) without either gets a fresh
@@ -95,16 +98,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
-        if not sc.master.startswith("local"):
+        # local[...] runs its tasks in this process; local-cluster[...] does not
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder on the cluster")
         conf = tempfile.mkdtemp(prefix="ebbtide-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf)
     return conf
 
 
-def reliable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder and cut its lineage,
+def reliable(df: DataFrame) -> tuple[DataFrame, str]:
+    """Write ``df`` to the shared folder and read it again: cuts its lineage,
     so later jobs re-read it instead of recomputing the orders pass (and
-    survive the loss of the executors that computed it)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    survive the loss of the executors that computed it). Returns the table
+    and its path, for ``discard``."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a table that ``reliable`` wrote."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

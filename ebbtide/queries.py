@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .config import FIXTURE_AS_OF, FIXTURE_AS_OF_MIDNIGHT, SegmentConfig
-from .operators import eligibility, history, scoring, segments
+from .config import (FIXTURE_AS_OF, FIXTURE_AS_OF_MIDNIGHT, FIXTURE_AS_OF_MONTH_END, FIXTURE_NO_ORDERS,
+                     SegmentConfig)
+from .operators import eligibility, history, scoring, segments, skew
 from .plans import lists
 from .sources import fixtures
 from .sources.tables import Tables
@@ -22,6 +23,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 MIDDAY = SegmentConfig(as_of=FIXTURE_AS_OF)
 MIDNIGHT = SegmentConfig(as_of=FIXTURE_AS_OF_MIDNIGHT)
+MONTH_END = SegmentConfig(as_of=FIXTURE_AS_OF_MONTH_END)
+
+# Shuffle plans by session and folder: orders are sampled once for all queries.
+_PLANS: dict[tuple[str, str], skew.ShufflePlan] = {}
+
+
+def _plan(spark: SparkSession, sf_dir: str) -> skew.ShufflePlan:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PLANS:
+        _PLANS[key] = lists.plan_orders(_t(spark, sf_dir), MIDDAY)
+    return _PLANS[key]
 
 
 def _t(spark: SparkSession, sf_dir: str) -> Tables:
@@ -35,7 +47,7 @@ def _ids(pred) -> Query:
 
 
 def _scored(spark, sf_dir, with_value=False) -> DataFrame:
-    reg = lists.regular_history(_t(spark, sf_dir), MIDDAY, with_value)
+    reg = lists.regular_history(_t(spark, sf_dir), MIDDAY, with_value, plan=_plan(spark, sf_dir))
     return scoring.score(reg, MIDDAY, with_value)
 
 
@@ -49,7 +61,8 @@ def _window_cols(kind: str) -> Query:
     name = {"count": history.count_col, "aov": history.aov_col, "gmv": history.gmv_col}[kind]
 
     def q(spark, sf_dir):
-        reg = lists.regular_history(_t(spark, sf_dir), MIDDAY, with_value=kind != "count")
+        reg = lists.regular_history(_t(spark, sf_dir), MIDDAY, with_value=kind != "count",
+                                    plan=_plan(spark, sf_dir))
         cols = [name(MIDDAY, k) for k in range(MIDDAY.n_windows)]
         if kind == "count":
             return reg.select("cid", "total_orders_lifetime", "first_order_date",
@@ -94,27 +107,26 @@ def join_active_subscription(spark, sf_dir):
 
 
 def join_customer_orders(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    ids = lists.eligible(t, MIDDAY).withColumnRenamed("cid", "customer_id")
-    return (
-        history.delivered_orders(t.orders, MIDDAY)
-        .join(ids, "customer_id", "left_semi")
-        .select(F.col("customer_id").alias("cid"), F.col("id").alias("order_id"), "created_at")
-    )
+    return lists.customer_orders(_t(spark, sf_dir), MIDDAY).select(
+        F.col("customer_id").alias("cid"), F.col("id").alias("order_id"), "created_at")
+
+
+def _history(spark, sf_dir) -> DataFrame:
+    return lists.customer_history(_t(spark, sf_dir), MIDDAY, plan=_plan(spark, sf_dir))
 
 
 def order_lifetime(spark, sf_dir):
-    return lists.customer_history(_t(spark, sf_dir), MIDDAY).select(
+    return _history(spark, sf_dir).select(
         "cid", "first_order_date", "last_order_date", "total_orders_lifetime"
     )
 
 
 def recency_count(spark, sf_dir):
-    return lists.customer_history(_t(spark, sf_dir), MIDDAY).select("cid", "recency")
+    return _history(spark, sf_dir).select("cid", "recency")
 
 
 def regular_customers(spark, sf_dir):
-    return lists.regular_history(_t(spark, sf_dir), MIDDAY).select(
+    return lists.regular_history(_t(spark, sf_dir), MIDDAY, plan=_plan(spark, sf_dir)).select(
         "cid", "first_order_date", "last_order_date", "total_orders_lifetime"
     )
 
@@ -137,25 +149,37 @@ def test_arm(spark, sf_dir):
 
 def _list(fn, cfg) -> Query:
     def q(spark, sf_dir):
-        return fn(_t(spark, sf_dir), cfg)
+        return fn(_t(spark, sf_dir), cfg, _plan(spark, sf_dir))
     return q
 
 
-def list_base_shuffled(spark, sf_dir):
-    """The base list through the no-broadcast path (aggregate all delivered
-    orders, then join the unique-keyed per-customer rows)."""
-    dec = lists.labelled(
-        lists.regular_history(_t(spark, sf_dir), MIDDAY, broadcast=False), MIDDAY
-    )
-    return lists.base_from(dec, MIDDAY)
+def _of_all(name: str) -> Query:
+    """One of the lists as the batch job makes it, from the shared pass."""
+    def q(spark, sf_dir):
+        return lists.shared_pass(_t(spark, sf_dir), MIDDAY, plan=_plan(spark, sf_dir))[0][name]
+    return q
+
+
+def _base(cfg: SegmentConfig, **options) -> Query:
+    def q(spark, sf_dir):
+        return lists.base_from(lists.declining_customers(
+            _t(spark, sf_dir), cfg, plan=_plan(spark, sf_dir), **options), cfg)
+    return q
 
 
 def list_details_salted(spark, sf_dir):
-    """The detail list with every sampled customer treated as hot, so the
-    salted two-level aggregation is exercised on the whole table."""
-    cfg = MIDDAY.replace(skew_sample_fraction=1.0, target_partition_bytes=1,
-                         max_shuffle_partitions=16)
-    return lists.detail_list(_t(spark, sf_dir), cfg)
+    """The detail list with every customer split, so the salted two-level
+    aggregation is exercised on the whole table."""
+    return lists.detail_list(_t(spark, sf_dir), MIDDAY, skew.ShufflePlan(partitions=16, every=4))
+
+
+def scores_zero_average(spark, sf_dir):
+    """Customers without an order in any window: the average is 0, what divides by it NULL."""
+    cfg = SegmentConfig(as_of=FIXTURE_NO_ORDERS, min_recent=0)
+    scored = scoring.score(lists.regular_history(
+        _t(spark, sf_dir), cfg, plan=_plan(spark, sf_dir)), cfg)
+    return scored.select("cid", scoring.AVG, scoring.MAGNITUDE, scoring.GAP, scoring.DAYS_SINCE,
+                         segments.sub_group(cfg).alias("sub_group"))
 
 
 def all_spark_queries() -> dict[str, Query]:
@@ -198,6 +222,21 @@ def all_spark_queries() -> dict[str, Query]:
         "list_metro_midnight": _list(lists.metro_list, MIDNIGHT),
         "list_test_midnight": _list(lists.test_list, MIDNIGHT),
         "list_details_midnight": _list(lists.detail_list, MIDNIGHT),
-        "list_base_shuffled": list_base_shuffled,
+        "list_base_month_end": _list(lists.base_list, MONTH_END),
+        "list_metro_month_end": _list(lists.metro_list, MONTH_END),
+        "list_test_month_end": _list(lists.test_list, MONTH_END),
+        "list_details_month_end": _list(lists.detail_list, MONTH_END),
+        # the ids not broadcast: orders filtered by a bitmap, aggregated, joined exactly
+        "list_base_shuffled": _base(MIDDAY, broadcast=False),
+        # neither broadcast nor bitmap: all delivered orders aggregated, joined exactly
+        "list_base_all_orders": _base(MIDDAY.replace(prefilter=False), broadcast=False),
+        # ids first reduced to the customers with an order in the recency range
+        "list_base_reduced": _base(MIDDAY.replace(orders_by_created_at=True)),
+        "list_base_reduced_midnight": _base(MIDNIGHT.replace(orders_by_created_at=True)),
         "list_details_salted": list_details_salted,
+        "scores_zero_average": scores_zero_average,
+        "all_lists_base": _of_all("base"),
+        "all_lists_metro": _of_all("metro"),
+        "all_lists_test": _of_all("test"),
+        "all_lists_details": _of_all("details"),
     }

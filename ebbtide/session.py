@@ -1,6 +1,7 @@
 """Session settings the plans are written for.
 
-``tune`` sets runtime SQL options only (safe on an existing cluster session);
+``tune`` sets runtime SQL options only (safe on an existing cluster session; its
+time zone stays, timestamps are NTZ throughout);
 ``local_session`` is for tests, benchmarks and laptops.
 """
 
@@ -17,8 +18,6 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Timestamps are NTZ throughout; pin the zone anyway for any LTZ input.
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -37,6 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .appName("ebbtide")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("EBBTIDE_DRIVER_MEMORY", "8g"))
         .config("spark.local.dir", scratch)
         .config("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))

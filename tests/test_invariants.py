@@ -19,10 +19,10 @@ MIDNIGHT = SegmentConfig(as_of=FIXTURE_AS_OF_MIDNIGHT)
 #                   control, incentive, no arm)
 COUNTS = {
     (SF001, "midday"): (19, 19, 0, 3, 7, 6, 6, 0, 1),
-    (SF01, "midday"): (204, 203, 1, 4, 83, 75, 38, 42, 3),
-    (SF01, "midnight"): (204, 203, 1, 6, 83, 75, 39, 41, 3),
-    (SF1, "midday"): (2042, 2023, 17, 138, 740, 670, 359, 348, 33),
-    (SF1, "midnight"): (2042, 2024, 19, 143, 724, 654, 349, 343, 32),
+    (SF01, "midday"): (204, 203, 1, 4, 83, 72, 38, 42, 3),
+    (SF01, "midnight"): (204, 203, 1, 6, 83, 72, 39, 41, 3),
+    (SF1, "midday"): (2042, 2023, 17, 138, 740, 649, 359, 348, 33),
+    (SF1, "midnight"): (2042, 2024, 19, 143, 724, 633, 349, 343, 32),
 }
 LABELS = ["Casual Stopper", "Core Stopper", "Power Stopper", "Casual Decreaser",
           "Regular Core Decreaser", "Erratic Core Decreaser", "Regular Power Decreaser",
