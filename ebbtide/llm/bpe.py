@@ -29,9 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NO_RANK = 1 << 62
-#: Bounds of what a worker keeps; full tables start afresh.
-MAX_STEPS = 1 << 20
-MAX_PIECES = 1 << 18
+OPEN = -1
+#: Bounds of the tables that a task fills; full ones start afresh, and all are emptied at its end.
+MAX_STATES = 1 << 18
+MAX_SEAMS = 1 << 18
+MAX_PIECES = 1 << 17
 #: Pieces of more bytes are emitted in parts.
 PART_BYTES = 1 << 14
 
@@ -98,9 +100,13 @@ class Transducer:
         return (ranks[parts[0]], ranks[parts[1]])
 
     def _reset(self) -> None:
-        self.states: list[tuple[tuple[int, int], ...]] = [((0, -1),)]
-        self.number = {self.states[0]: 0}
-        self.steps: dict[int, tuple[int, int, int]] = {}
+        #: A state maps bytes to (next state, token that ends here, its size); at OPEN it has its open boundaries.
+        self.start: dict = {OPEN: ((0, -1),)}
+        self.states: dict[tuple, dict] = {self.start[OPEN]: self.start}
+
+    def forget(self) -> None:
+        self._seams.clear()
+        self._reset()
 
     def seam(self, a: int, b: int) -> bool:
         """Whether merging the bytes of ``a`` and ``b`` leaves just these two tokens.
@@ -110,7 +116,7 @@ class Transducer:
         """
         known = self._seams.get((a, b))
         if known is None:
-            if len(self._seams) >= MAX_STEPS:
+            if len(self._seams) >= MAX_SEAMS:
                 self._seams.clear()
             known = self._seams[a, b] = self._seam(a, b) if self.ordered else merge_all(self.token[a] + self.token[b], self.ranks) == [self.token[a], self.token[b]]
         return known
@@ -131,56 +137,61 @@ class Transducer:
             else:
                 j += 1
 
-    def _step(self, state: int, byte: int) -> tuple[int, int, int]:
-        """Next state, the token that ends here, and its number of bytes."""
-        found, still = -1, []
-        for node, last in self.states[state]:
-            to = self.trie[node].get(byte)
+    def _step(self, state: dict, byte: int) -> tuple[dict, int, int]:
+        """Next state, the token that ends here, and its number of bytes; kept in the state."""
+        found, after = -1, []
+        trie, ends = self.trie, self.ends
+        for node, last in state[OPEN]:
+            to = trie[node].get(byte)
             if to is None:
                 continue
-            if self.trie[to]:
-                still.append((to, last))
-            t = self.ends[to]
+            if trie[to]:
+                after.append((to, last))
+            t = ends[to]
             if t >= 0 and found < 0 and (last < 0 or self.seam(last, t)):
                 found = t
-        after = (*still, (0, found))
-        n = self.number.get(after)
-        if n is None:
-            n = self.number[after] = len(self.states)
-            self.states.append(after)
-        step = self.steps[state << 8 | byte] = (n, found, len(self.token[found]))
+        after.append((0, found))
+        key = tuple(after)
+        to_state = self.states.get(key)
+        if to_state is None:
+            if len(self.states) >= MAX_STATES:
+                self._reset()  # states in use live on until the piece ends
+            to_state = self.states[key] = {OPEN: key}
+        step = state[byte] = (to_state, found, len(self.token[found]))
         return step
 
-    def _walk(self, data: bytes) -> Iterator[list[int]]:
-        """Emits the tokens of one piece in parts, each as soon as it is settled."""
-        steps = self.steps
-        state, tokens, sizes = 0, [], []
-        base = 0  # tokens before this byte are out
-        for at, byte in enumerate(data):
-            step = steps.get(state << 8 | byte)
-            if step is None:
-                if len(steps) >= MAX_STEPS:
-                    open_now = self.states[state]
-                    self._reset()
-                    steps = self.steps
-                    state = self.number.setdefault(open_now, len(self.states))
-                    if state == len(self.states):
-                        self.states.append(open_now)
-                step = self._step(state, byte)
-            state, token, size = step
+    def _short(self, data: bytes) -> list[int]:
+        """The tokens of a piece of few bytes, last first."""
+        state, tokens, sizes = self.start, [], []
+        for byte in data:
+            step = state.get(byte)
+            state, token, size = step if step is not None else self._step(state, byte)
             tokens.append(token)
             sizes.append(size)
-            if at + 1 - base >= PART_BYTES:
+        out, end = [], len(tokens)
+        while end:
+            out.append(tokens[end - 1])
+            end -= sizes[end - 1]
+        return out
+
+    def _long(self, data: bytes) -> Iterator[list[int]]:
+        """The tokens of one piece in parts, each as soon as it is settled."""
+        state, tokens, sizes = self.start, [], []
+        for byte in data:
+            step = state.get(byte)
+            state, token, size = step if step is not None else self._step(state, byte)
+            tokens.append(token)
+            sizes.append(size)
+            if len(tokens) >= PART_BYTES:
                 cut = self._agreed(state, sizes)
                 if cut:
                     yield self._back(tokens, sizes, cut)
                     del tokens[:cut], sizes[:cut]
-                    base += cut
         yield self._back(tokens, sizes, len(tokens))
 
-    def _agreed(self, state: int, sizes: list[int]) -> int:
+    def _agreed(self, state: dict, sizes: list[int]) -> int:
         """The last position that the tokens before every open boundary share."""
-        open_at = {len(sizes) - self._depth(node) for node, _ in self.states[state]}
+        open_at = {len(sizes) - self._depth(node) for node, _ in state[OPEN]}
         while len(open_at) > 1:
             p = max(open_at)
             open_at.remove(p)
@@ -208,7 +219,9 @@ class Transducer:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        return [t for part in self._walk(data) for t in part]
+        if len(data) < PART_BYTES:
+            return self._short(data)[::-1]
+        return [t for part in self._long(data) for t in part]
 
 
 class Encoder(dict):
@@ -217,18 +230,25 @@ class Encoder(dict):
     def __init__(self, path: str, pattern: str):
         super().__init__()
         self.transducer = Transducer(load_ranks(path))
+        self.packed = {r: r.to_bytes(4, "little") for r in self.transducer.token}
         self.pieces = regex.compile(pattern).findall
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.transducer.encode_piece(piece.encode()), "<u4").tobytes()
+        packed = self.packed
+        ids = b"".join([packed[t] for t in self.transducer.encode_piece(piece.encode())])
         if len(piece) <= 64:
             if len(self) >= MAX_PIECES:
                 self.clear()
             self[piece] = ids
         return ids
 
+    def forget(self) -> None:
+        """Empties the tables: a worker that waits for its next task holds the merges only."""
+        self.clear()
+        self.transducer.forget()
+
     def encode(self, text: str) -> bytes:
-        return b"".join([self[p] for p in self.pieces(text)])
+        return b"".join(map(self.__getitem__, self.pieces(text)))
 
 
 class StreamDecoder:
@@ -301,6 +321,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             if with_ids:
                 columns["ids"] = pa.array(ids, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict(columns | {"ids_sha256": a, "decoded_sha256": b})
+        encoder(path, pattern).forget()
 
     kind = dict(docs.dtypes)[id_col]
     schema = f"doc {kind}, n_tokens bigint, {'ids array<int>, ' if with_ids else ''}ids_sha256 string, decoded_sha256 string"

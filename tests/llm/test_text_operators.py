@@ -260,7 +260,8 @@ def test_encoding_equals_the_library(reference):
 
 
 def test_tables_that_overflow_start_afresh(reference, monkeypatch):
-    monkeypatch.setattr(bpe, "MAX_STEPS", 50)
+    monkeypatch.setattr(bpe, "MAX_STATES", 50)
+    monkeypatch.setattr(bpe, "MAX_SEAMS", 50)
     monkeypatch.setattr(bpe, "MAX_PIECES", 5)
     monkeypatch.setattr(bpe, "PART_BYTES", 64)
     enc = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
