@@ -44,6 +44,7 @@ def trim(text: str) -> str:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from ebbtide.config import FIXTURE_AS_OF, SegmentConfig
+    from ebbtide.operators import skew
     from ebbtide.plans import lists
     from ebbtide.session import local_session
     from ebbtide.sources import fixtures, schemas
@@ -62,21 +63,21 @@ def main() -> None:
     t = tables_mod.load(spark, paths["customers"], paths["orders"], paths["subscriptions"],
                         paths["metros"])
     cfg = SegmentConfig(as_of=FIXTURE_AS_OF)
-    salted = cfg.replace(skew_sample_fraction=1.0, target_partition_bytes=512,
-                         max_shuffle_partitions=16)
+    plan = lists.plan_orders(t, cfg)
+    hot = skew.ShufflePlan(16, [(5, 3), (8, 2)])
 
     def via(c, broadcast):
-        return lists.base_from(lists.labelled(
-            lists.regular_history(t, c, broadcast=broadcast), c), c)
+        return lists.base_from(lists.declining_customers(t, c, broadcast=broadcast, plan=plan), c)
 
     sections = [
         ("Base list, eligible ids broadcast (counted to fit the budget)", via(cfg, None)),
         ("Base list, eligible ids over the budget: bitmap prefilter, aggregate, exact join",
          via(cfg, False)),
-        ("Detail list with hot customers salted (thresholds lowered so the test data "
-         "counts as large)", lists.detail_list(t, salted)),
+        ("Base list, orders laid out by date: ids reduced by a pushed recency range first",
+         via(cfg.replace(orders_by_created_at=True), None)),
+        ("Detail list with two hot customers split", lists.detail_list(t, cfg, hot)),
         ("Metro list (join back to customers, counted broadcast of metros)",
-         lists.metro_list(t, cfg)),
+         lists.metro_list(t, cfg, plan)),
     ]
     out = ["# Physical plans", "",
            f"Generated by `tools/plans_doc.py` from `{sf_dir}` written as real-schema "

@@ -70,7 +70,7 @@ def main() -> None:
     os.makedirs(logs)
     from pyspark.sql import SparkSession
 
-    from bench import two_scan_base
+    from bench import real_tables, two_scan, two_scan_base
     from ebbtide.config import FIXTURE_AS_OF, SegmentConfig
     from ebbtide.plans import lists
     from ebbtide.session import tune
@@ -88,32 +88,22 @@ def main() -> None:
     cfg = SegmentConfig(as_of=FIXTURE_AS_OF)
     t = fixtures.tables(spark, sf_dir)
     if "--real" in sys.argv:
-        # Materialise the mapped tables as real-schema Parquet: the test
-        # mapping derives every customer attribute from the id, which lets
-        # Catalyst copy customer predicates onto orders; real tables cannot.
-        from ebbtide.sources import schemas
-        from ebbtide.sources import tables as tables_mod
-
-        paths = {}
-        for name, df, schema in [("customers", t.customers, schemas.CUSTOMERS),
-                                 ("orders", t.orders, schemas.ORDERS),
-                                 ("subscriptions", t.subscriptions, schemas.SUBSCRIPTIONS),
-                                 ("metros", t.metros, schemas.METROS)]:
-            paths[name] = os.path.join(scratch, "tables", name)
-            tables_mod.conform(df, schema).write.parquet(paths[name])
-        t = tables_mod.load(spark, paths["customers"], paths["orders"],
-                            paths["subscriptions"], paths["metros"])
+        t = real_tables(spark, sf_dir, scratch)
+    plan = lists.plan_orders(t, cfg)
 
     def no_broadcast(c):
         return lambda: lists.base_from(
-            lists.labelled(lists.regular_history(t, c, broadcast=False), c), c).collect()
+            lists.declining_customers(t, c, broadcast=False, plan=plan), c).collect()
 
     plans = {
-        "one_pass_base": lambda: lists.base_list(t, cfg).collect(),
-        "one_pass_details": lambda: lists.detail_list(t, cfg).collect(),
+        "one_pass_base": lambda: lists.base_list(t, cfg, plan).collect(),
+        "one_pass_details": lambda: lists.detail_list(t, cfg, plan).collect(),
         "two_scan_base": lambda: two_scan_base(t, cfg).collect(),
+        "two_scan_details": lambda: lists.details_from(two_scan(t, cfg, True), cfg).collect(),
+        "first_run_sample": lambda: lists.plan_orders(t, cfg),
         "no_broadcast_bitmap_base": no_broadcast(cfg),
         "no_broadcast_all_orders_base": no_broadcast(cfg.replace(prefilter=False)),
+        "reduced_base": lambda: lists.base_list(t, cfg.replace(orders_by_created_at=True), plan).collect(),
     }
     for name, fn in plans.items():
         fn()  # warm-up, not counted
