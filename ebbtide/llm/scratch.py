@@ -11,20 +11,25 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Folders made for local sessions that name none, by application.
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Unset, a local session gets a temporary folder of its own (tests, laptops);
-    anywhere else that is an error, since executors would not share it.
+    Unset, a ``local[...]`` session gets a temporary folder of its own (tests,
+    laptops); anywhere else that is an error, since executors would not share it.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
-    if not spark.sparkContext.master.startswith(("local[", "local ")) and spark.sparkContext.master != "local":
+    sc = spark.sparkContext
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = tempfile.mkdtemp(prefix="ebbtide-scratch-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if sc.applicationId not in _OWN:
+        _OWN[sc.applicationId] = tempfile.mkdtemp(prefix="ebbtide-scratch-")
+    return _OWN[sc.applicationId]
 
 
 def new_path(spark: SparkSession, kind: str) -> str:
