@@ -67,7 +67,7 @@ def _reduced(delivered: DataFrame, ids: DataFrame, how: str, bits: int) -> DataF
 def customer_orders(tables: Tables, cfg: SegmentConfig, broadcast: bool | None = None) -> DataFrame:
     """Delivered orders of the eligible customers, one row per order."""
     ids = eligible(tables, cfg)
-    n_ids = _candidates(tables, cfg).count()
+    n_ids = strategy.bounded_count(tables.customers, _candidates(tables, cfg), cfg)
     how, bits = strategy.orders_join(tables.orders.sparkSession, cfg, n_ids, broadcast)
     rows = _reduced(_delivered(tables, cfg), ids, how, bits)
     if how == "broadcast":
@@ -92,7 +92,8 @@ def customer_history(tables: Tables, cfg: SegmentConfig, with_value: bool = Fals
     if recent_only and cfg.orders_by_created_at and cfg.min_recent >= 1:
         ids = ids.join(history.recent_customers(tables.orders, cfg), "cid", "left_semi")
     delivered = _delivered(tables, cfg)
-    n_ids, plan = strategy.probe_orders_pass(_candidates(tables, cfg), delivered, cfg, plan)
+    n_ids, plan = strategy.probe_orders_pass(
+        tables.customers, _candidates(tables, cfg), delivered, cfg, plan)
     how, bits = strategy.orders_join(tables.orders.sparkSession, cfg, n_ids, broadcast)
     per_customer = history.order_history(
         _reduced(delivered, ids, how, bits), cfg, with_value, plan)
