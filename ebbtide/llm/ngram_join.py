@@ -8,14 +8,15 @@ right results; the counts make it a good one). Two sets that link share a
 shingle within their first n - ceil(t n) + 1, their prefixes; documents join on
 these only. Candidates must pass the length filter, the positional filter (what
 may still follow the shared shingle is enough) and the suffix filter (halving
-both sets around a probe shingle), and are then verified once on whole sets.
+both sets around a probe shingle), and are then verified once on whole texts.
 
 Documents with equal sets are one node from the start. A group of copies would
 make pairs in the square of its size, so a shingle of over ``SMALL`` nodes pairs
-them with one hub at first. Verified links are merged into components, shingles
-whose nodes are all in one component are done, and the rest gets another hub in
-the next round, until little is left (or after ``ROUNDS``): that is joined in
-full between different components, so that no link between components is missed.
+them with ``HUBS`` of them at first. Shingles whose nodes are known to be in one
+component through verified links are done, and the rest gets other hubs in the
+next round, until little is left (or after ``ROUNDS``): that is joined in full
+between nodes not known to be connected, so that no link between components is
+missed.
 
 Documents without words have no set and link with nothing; with fewer than
 ``K`` words the whole sequence is the one shingle. Null texts have no words.
@@ -45,6 +46,8 @@ PART = 1 << 12
 REDUCER_BITS = 1 << 24
 #: Shingles of so many nodes at most are joined in full at once; others get rounds of hubs.
 SMALL = 16
+#: Hubs of a shingle in a round.
+HUBS = 4
 #: Rounds at most (the last joins in full), and the pairs left, by the rows at the start, at which that is done.
 ROUNDS = 5
 FULL_BELOW = 4
@@ -160,10 +163,6 @@ def _bound(x: np.ndarray, y: np.ndarray, depth: int) -> int:
     return _bound(x[:at], y[:mid], depth - 1) + there + _bound(x[at + there :], y[mid + 1 :], depth - 1)
 
 
-def _needed(nx: int, ny: int, percent: int) -> int:
-    return -(-percent * (nx + ny) // (100 + percent))
-
-
 def _common(x: np.ndarray, y: np.ndarray) -> int:
     """Common values of two ascending sets."""
     if not len(x) or not len(y):
@@ -172,19 +171,6 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int((x[np.minimum(at, len(x) - 1)] == y).sum())
 
 
-def prefixes_allow(x: np.ndarray, nx: int, y: np.ndarray, ny: int, percent: int) -> bool:
-    """Bounds the overlap by the prefixes: exact up to where the first one ends, all of the rest beyond."""
-    last = min(x[-1], y[-1])
-    rx, ry = int(np.searchsorted(x, last, "right")), int(np.searchsorted(y, last, "right"))
-    return _common(x[:rx], y[:ry]) + min(nx - rx, ny - ry) >= _needed(nx, ny, percent)
-
-
-def _heads(described: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, n, prefix) of these nodes, once each."""
-    mask = bitmap(nodes, "node", REDUCER_BITS)
-    return keep_members(described.filter("n > 0").select("node", "n", "prefix"), mask, "node", REDUCER_BITS).dropDuplicates(["node"])
-
-
 def _wanted_texts(docs: DataFrame, reps: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     """(node, text) of these nodes, from one document each."""
     wanted = stored(reps.join(nodes, "node").select("node", "doc"), "wanted")
@@ -200,42 +186,24 @@ def _wanted_texts(docs: DataFrame, reps: DataFrame, nodes: DataFrame, k: int) ->
     return texts.mapInArrow(run, "node bigint, text string").dropDuplicates(["node"])
 
 
-def _both(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
-    """Pairs with these columns of both nodes."""
-    x = table.select(F.col("node").alias("a"), *[F.col(c).alias(c + "_a") for c in columns])
-    y = table.select(F.col("node").alias("b"), *[F.col(c).alias(c + "_b") for c in columns])
-    return pairs.join(x, "a").join(y, "b")
+def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets link: the suffix filter, then their exact overlap."""
 
-
-def verify(pairs: DataFrame, docs: DataFrame, described: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: bounded by their prefixes, then verified on whole texts."""
-
-    def bounded(batches):
-        for batch in batches:
-            na, nb = batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist()
-            x, y = batch.column("prefix_a"), batch.column("prefix_b")
-            ok = [
-                prefixes_allow(x[i].values.to_numpy().view(np.uint64), na[i], y[i].values.to_numpy().view(np.uint64), nb[i], percent)
-                for i in range(batch.num_rows)
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    def checked(batches):
+    def run(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, PAIRS):
                 batch = whole.slice(at, PAIRS)
                 x, y = ([s for _, sets in _texts(batch.select([c]).rename_columns(["text"]), k) for s in sets] for c in ("text_a", "text_b"))
                 ok = []
                 for s, t in zip(x, y, strict=True):
-                    need = _needed(len(s), len(t), percent)
+                    need = -(-percent * (len(s) + len(t)) // (100 + percent))
                     ok.append(may_overlap(s, t, need) and _common(s, t) >= need)
                 yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    left = stored(_both(pairs, _heads(described, nodes), "n", "prefix").select("a", "b", "n_a", "n_b", "prefix_a", "prefix_b").mapInArrow(bounded, "a bigint, b bigint"), "bounded")
-    nodes = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = _wanted_texts(docs, reps, nodes, k)
-    return _both(left, texts, "text").select("a", "b", "text_a", "text_b").mapInArrow(checked, "a bigint, b bigint")
+    texts = _wanted_texts(docs, reps, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), k)
+    x = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    y = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
 
 
 def _shared(described: DataFrame) -> DataFrame:
@@ -258,8 +226,10 @@ def _shared(described: DataFrame) -> DataFrame:
 
 
 def _star(rows: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Candidates between one hub of each token and its other nodes, of other components."""
-    hub = rows.groupBy("token").agg(F.min_by(F.struct("node", "n", "pos", "root"), F.xxhash64("node", F.lit(turn))).alias("h"))
+    """Candidates between a few hubs of each token and its other nodes, of other components."""
+    place = F.struct("node", "n", "pos", "root")
+    hubs = rows.groupBy("token").agg(*[F.min_by(place, F.xxhash64("node", F.lit(turn * HUBS + i))).alias(f"h{i}") for i in range(HUBS)])
+    hub = hubs.select("token", F.explode(F.array_distinct(F.array(*[f"h{i}" for i in range(HUBS)]))).alias("h"))
     met = rows.join(hub, "token").filter("node <> h.node and root <> h.root")
     met = met.selectExpr("least(node, h.node) as a", "greatest(node, h.node) as b", "n as na", "h.n as nb", "pos as pa", "h.pos as pb")
     return met.filter(_alike(percent)).filter(_enough(percent)).select("a", "b")
@@ -273,13 +243,21 @@ def _full(rows: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b")
 
 
+def _labels(links: DataFrame) -> DataFrame:
+    """(node, root): the smallest node within two links. Equal roots mean one component."""
+    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = both.unionAll(both.select("a", F.col("a").alias("b")))
+    near = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("b"), "low")
+    return both.join(near, "b").groupBy("a").agg(F.min("low").alias("root")).select(F.col("a").alias("node"), "root")
+
+
 def linked(docs: DataFrame, described: DataFrame, reps: DataFrame, k: int, percent: int, rounds: int = ROUNDS, small: int = SMALL) -> DataFrame | None:
     """(node, root) of the nodes that have links, or None without any."""
     rows = stored(_shared(described).withColumn("root", F.col("node")), "shared")
     volume = rows.count()
     if not volume:
         return None
-    tested = roots = None
+    tested = links = None
     for turn in range(rounds + 1):
         if turn == rounds:
             pairs = _full(rows, percent)
@@ -291,15 +269,13 @@ def linked(docs: DataFrame, described: DataFrame, reps: DataFrame, k: int, perce
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        links = verify(pairs, docs, described, reps, k, percent)
-        if roots is not None:  # earlier links are held by their components' stars
-            links = links.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        roots = stored(components(links), "roots")
+        found = stored(verify(pairs, docs, reps, k, percent), "links")
+        links = found if links is None else links.unionAll(found)
         if turn == rounds:
             break
         # Shingles of one component are done, and so are the small ones once they were joined in full.
-        rows = rows.drop("root").filter(F.col("c") > (small if turn == 0 else 1)).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("all")).filter("low < high")
+        rows = rows.drop("root").filter(F.col("c") > (small if turn == 0 else 1)).join(_labels(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
         rows = stored(rows.join(mixed.select("token"), "token"), "rows")
         by_root = rows.groupBy("token", "root").agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("m"))
         work = by_root.groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.expr("m * m")).alias("mm")).agg(F.sum("m"), F.sum(F.expr("(m * m - mm) / 2"))).first()
@@ -308,7 +284,7 @@ def linked(docs: DataFrame, described: DataFrame, reps: DataFrame, k: int, perce
         if work[1] <= FULL_BELOW * volume or turn + 2 >= rounds:
             rounds = turn + 1  # the next is the full join
         tested = pairs if tested is None else tested.unionAll(pairs)
-    return roots
+    return stored(components(links), "roots")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
