@@ -46,8 +46,9 @@ PART = 1 << 12
 REDUCER_BITS = 1 << 24
 #: Shingles of so many nodes at most are joined in full at once; others get rounds of hubs.
 SMALL = 16
-#: Hubs of a shingle in a round.
+#: Hubs of a shingle in a round, and links between rounds within which nodes are known to be connected.
 HUBS = 4
+HOPS = 4
 #: Rounds at most (the last joins in full), and the pairs left, by the rows at the start, at which that is done.
 ROUNDS = 5
 FULL_BELOW = 4
@@ -244,11 +245,14 @@ def _full(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _labels(links: DataFrame) -> DataFrame:
-    """(node, root): the smallest node within two links. Equal roots mean one component."""
+    """(node, root): the smallest node within HOPS links. Equal roots mean one component."""
     both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = both.unionAll(both.select("a", F.col("a").alias("b")))
-    near = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("b"), "low")
-    return both.join(near, "b").groupBy("a").agg(F.min("low").alias("root")).select(F.col("a").alias("node"), "root")
+    root = both.groupBy("a").agg(F.min("b").alias("root"))
+    for _ in range(HOPS - 1):
+        near = root.select(F.col("a").alias("b"), "root")
+        root = both.join(near, "b").groupBy("a").agg(F.min("root").alias("root"))
+    return root.withColumnRenamed("a", "node")
 
 
 def linked(docs: DataFrame, described: DataFrame, reps: DataFrame, k: int, percent: int, rounds: int = ROUNDS, small: int = SMALL) -> DataFrame | None:
