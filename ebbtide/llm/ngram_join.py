@@ -236,12 +236,25 @@ def _star(rows: DataFrame, percent: int, turn: int) -> DataFrame:
     return met.filter(_alike(percent)).filter(_enough(percent)).select("a", "b")
 
 
+def _early(percent: int) -> str:
+    """Whether a shingle stands early enough to be the first one shared with a set of the same size or more."""
+    return f"pos < n - ceil({percent}.0 * 2 * n / {100 + percent}) + 1"
+
+
 def _full(rows: DataFrame, percent: int) -> DataFrame:
-    """All candidates between nodes of different components."""
-    x = rows.selectExpr("token", "node as a", "n as na", "pos as pa", "root as ra")
+    """All candidates between nodes of different components: early shingles of the smaller set meet all of larger ones."""
+    x = rows.filter(_early(percent)).selectExpr("token", "node as a", "n as na", "pos as pa", "root as ra")
     y = rows.selectExpr("token as token_b", "node as b", "n as nb", "pos as pb", "root as rb")
-    met = x.join(y, F.expr(f"token = token_b and a < b and ra <> rb and {_alike(percent)} and {_enough(percent)}"))
-    return met.select("a", "b")
+    met = x.join(y, F.expr(f"token = token_b and (na < nb or na = nb and a <> b) and ra <> rb and {_alike(percent)} and {_enough(percent)}"))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _pairable(rows: DataFrame, percent: int) -> DataFrame:
+    """(token, work): shingles with nodes of different components of which one has it early; the pairs they may make."""
+    by_root = rows.groupBy("token", "root").agg(F.count(F.lit(1)).alias("m"), F.count_if(F.expr(_early(percent))).alias("e"))
+    wide = "cast({} as decimal(38,0)) * {}"
+    per = by_root.groupBy("token").agg(F.sum("m").alias("m"), F.sum("e").alias("e"), F.sum(F.expr(wide.format("e", "m"))).alias("inner"), F.count(F.lit(1)).alias("roots"))
+    return per.filter("roots > 1 and e > 0").select("token", F.expr(wide.format("e", "m") + " - inner").alias("work"))
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -257,7 +270,9 @@ def _labels(links: DataFrame) -> DataFrame:
 
 def linked(docs: DataFrame, described: DataFrame, reps: DataFrame, k: int, percent: int, rounds: int = ROUNDS, small: int = SMALL) -> DataFrame | None:
     """(node, root) of the nodes that have links, or None without any."""
-    rows = stored(_shared(described).withColumn("root", F.col("node")), "shared")
+    rows = _shared(described).withColumn("root", F.col("node"))
+    early = rows.groupBy("token").agg(F.max(F.expr(_early(percent))).alias("early")).filter("early").select("token")
+    rows = stored(rows.join(early, "token"), "shared")
     volume = rows.count()
     if not volume:
         return None
@@ -279,13 +294,12 @@ def linked(docs: DataFrame, described: DataFrame, reps: DataFrame, k: int, perce
             break
         # Shingles of one component are done, and so are the small ones once they were joined in full.
         rows = rows.drop("root").filter(F.col("c") > (small if turn == 0 else 1)).join(_labels(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-        rows = stored(rows.join(mixed.select("token"), "token"), "rows")
-        by_root = rows.groupBy("token", "root").agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("m"))
-        work = by_root.groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.expr("m * m")).alias("mm")).agg(F.sum("m"), F.sum(F.expr("(m * m - mm) / 2"))).first()
-        if not work[0]:
+        left = stored(_pairable(rows, percent), "left")
+        rows = stored(rows.join(left.select("token"), "token"), "rows")
+        work = left.agg(F.sum("work")).first()[0]
+        if work is None:
             break
-        if work[1] <= FULL_BELOW * volume or turn + 2 >= rounds:
+        if work <= FULL_BELOW * volume or turn + 2 >= rounds:
             rounds = turn + 1  # the next is the full join
         tested = pairs if tested is None else tested.unionAll(pairs)
     return stored(components(links), "roots")
