@@ -2,7 +2,8 @@
 
 Base spans are the leftmost non-overlapping matches of four patterns. For the
 rest, small transducers rewrite the text piece by piece: homoglyph letters and
-digits to ASCII, zero-width characters to nothing, spelled digits to digits,
+digits to ASCII, zero-width characters to nothing, spelled digits to digits
+(with "double", "plus", and dots between numbers as words or in brackets),
 "at" and "dot" disguises to ``@`` and ``.``. Every output character carries the
 source span that it came from, so a match in the rewritten text maps back to
 source characters. A found span is added where it overlaps no base span and
@@ -126,16 +127,24 @@ SPELLED = {
 
 _GLYPH = re.compile("[" + re.escape("".join(map(chr, HOMOGLYPHS)) + HIDDEN) + "０-９Ａ-Ｚａ-ｚ٠-٩۰-۹\U0001d400-\U0001d7ff]")
 _NUMBER = "|".join(sorted(SPELLED, key=len, reverse=True))
-_SPELLED_RUN = re.compile(rf"(?<![^\W_])(?:{_NUMBER}|plus)(?:(?:[ \t]*[-,][ \t]*|[ \t]+)(?:{_NUMBER}|dot|point|punkt|punto|double|[0-9]+))+(?![^\W_])", re.I)
-_SPELLED_WORD = re.compile(rf"(?<![^\W_])(?:{_NUMBER}|plus|dot|point|punkt|punto)(?![^\W_])", re.I)
-_AT = re.compile(r"[ \t]*(?:\([ \t]*(?:at|@)[ \t]*\)|\[[ \t]*(?:at|@)[ \t]*\]|\{[ \t]*(?:at|@)[ \t]*\}|<[ \t]*at[ \t]*>|_at_)[ \t]*", re.I)
-_DOT = re.compile(r"[ \t]*(?:\([ \t]*(?:dot|\.)[ \t]*\)|\[[ \t]*(?:dot|\.)[ \t]*\]|\{[ \t]*(?:dot|\.)[ \t]*\}|<[ \t]*dot[ \t]*>|_dot_)[ \t]*", re.I)
+# Words for a dot between numbers.
+_POINT = "dot|point|punkt|punto"
+_GAP = r"(?:[ \t]*[-,][ \t]*|[ \t]+)"
+_END = r"(?![^\W_])"
+_SPELLED_ONE = rf"(?:double{_GAP})?(?:(?:{_NUMBER}){_END}|[0-9]++)"
+_SPELLED_SEP = rf"(?:{_GAP}(?:(?:{_POINT}){_GAP})?|\.)"
+#: What begins a run: a number word, or digits before a word of the run; "plus" and "double" before them.
+_SPELLED_START = rf"(?<![^\W_])(?:plus{_GAP}(?={_SPELLED_ONE})|double{_GAP}(?=(?:{_NUMBER}){_END}|[0-9])|(?:{_NUMBER}){_SPELLED_SEP}(?={_SPELLED_ONE})|[0-9]++(?:{_GAP}(?:{_POINT}){_GAP}(?={_SPELLED_ONE})|(?:{_GAP}|\.)(?=(?:double{_GAP})?(?:{_NUMBER}){_END})))"
+_SPELLED_RUN = re.compile(rf"(?={_SPELLED_START})(?:plus{_GAP})?{_SPELLED_ONE}(?:{_SPELLED_SEP}{_SPELLED_ONE})*{_END}", re.I)
+_SPELLED_WORD = re.compile(rf"(?:(?P<twice>double){_GAP})?(?:(?P<word>(?:{_NUMBER}|plus|{_POINT}){_END})|(?P<digits>[0-9]+))", re.I)
+_AT = re.compile(r"(?:(?<![ \t])[ \t]+)?(?:\([ \t]*(?:at|@)[ \t]*\)|\[[ \t]*(?:at|@)[ \t]*\]|\{[ \t]*(?:at|@)[ \t]*\}|<[ \t]*at[ \t]*>|_at_)[ \t]*", re.I)
+_DOT = re.compile(r"(?:(?<![ \t])[ \t]+)?(?:\([ \t]*(?:dot|\.)[ \t]*\)|\[[ \t]*(?:dot|\.)[ \t]*\]|\{[ \t]*(?:dot|\.)[ \t]*\}|<[ \t]*dot[ \t]*>|_dot_)[ \t]*", re.I)
 # Endings that make "name at host dot end" an address when the words stand bare.
 ENDINGS = "com|org|net|edu|gov|mil|int|info|biz|name|dev|app|io|co|ai|eu|uk|us|de|fr|es|ch|nl|pl|ru|br|mx|ca|au|jp|cn|kr|example|test"
 #: Bare words only where both stand in one address: name at host dot end.
 _BARE = re.compile(r"(?<=[A-Za-z0-9])[ \t]+at[ \t]+(?=[A-Za-z0-9-]{1,63}(?:(?:[ \t]+dot[ \t]+|\.)[A-Za-z0-9-]{1,63})*[ \t]+dot[ \t]+(?:" + ENDINGS + r")(?![A-Za-z0-9-]))", re.I)
 _BARE_DOT = re.compile(r"(?<=[A-Za-z0-9])[ \t]+dot[ \t]+(?=[A-Za-z0-9])", re.I)
-_HINTS = re.compile(_GLYPH.pattern + r"|[(\[{<_][ \t]*(?:at|@|dot|\.)[ \t]*[)\]}>_]|[ \t]dot[ \t]|(?<![^\W_])(?:" + _NUMBER + r"|plus)[ \t,-]+(?:" + _NUMBER + r"|[0-9])", re.I)
+_HINTS = re.compile(_GLYPH.pattern + r"|[(\[{<_][ \t]*(?:at|@|dot|\.)[ \t]*[)\]}>_]|[ \t]dot[ \t]|" + _SPELLED_START, re.I)
 
 
 class Rewritten:
@@ -180,14 +189,19 @@ def _glyph(c: str) -> str:
 
 
 def _spelled(m: re.Match) -> list[tuple[int, int, str]]:
-    """Edits that join a run of spelled digits into one number."""
-    edits, at = [], m.start()
+    """Edits that join a run of spelled digits into one number; beside digits only the gaps around plus and dots go."""
+    edits, at, before = [], m.start(), ""
     for w in _SPELLED_WORD.finditer(m.string, m.start(), m.end()):
-        word = w.group().lower()
-        to = "+" if word == "plus" else SPELLED.get(word, ".")
-        gap = m.string[at : w.start()]
-        edits.append((at if not gap.strip(" \t,-") else w.start(), w.end(), to))
-        at = w.end()
+        word = (w["word"] or "").lower()
+        kind = "point" if word and word not in SPELLED else "word" if word or w["twice"] else "digits"
+        joined = "point" in (kind, before) or kind == before == "word"
+        start = at if joined and m.string[at : w.start()] != "." else w.start()
+        if kind == "digits":
+            edits.append((start, w.start(), ""))
+        else:
+            to = w["digits"] or SPELLED.get(word, "+" if word == "plus" else ".")
+            edits.append((start, w.end(), to[0] + to if w["twice"] else to))
+        at, before = w.end(), kind
     return [e for e in edits if e[0] < e[1]]
 
 
@@ -197,10 +211,10 @@ def rewrite(text: str) -> Rewritten | None:
         return None
     r = Rewritten(text)
     r.apply([(m.start(), m.end(), to) for m in _GLYPH.finditer(r.text) if (to := _glyph(m.group())) != m.group()])
+    r.apply([(m.start(), m.end(), ".") for m in _DOT.finditer(r.text)])  # first: they may stand in a run, or in a bare address
     r.apply([e for m in _SPELLED_RUN.finditer(r.text) for e in _spelled(m)])
     r.apply([(m.start(), m.end(), "@") for m in _BARE.finditer(r.text)])
     r.apply([(m.start(), m.end(), "@") for m in _AT.finditer(r.text)])
-    r.apply([(m.start(), m.end(), ".") for m in _DOT.finditer(r.text)])
     if "@" in r.text:
         near = [m.span() for m in re.finditer(r"@[A-Za-z0-9.-]*(?:[ \t]+dot[ \t]+[A-Za-z0-9-]+)+", r.text, re.I)]
         r.apply([(m.start(), m.end(), ".") for a, b in near for m in _BARE_DOT.finditer(r.text, a, b)])

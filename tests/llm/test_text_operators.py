@@ -217,6 +217,20 @@ def test_base_spans_match_the_patterns():
     ("at 10[.]0[.]0[.]1!", ["10[.]0[.]0[.]1"]),
     ("four one one one 1111 1111 1111", ["four one one one 1111 1111 1111"]),
     ("a​@b.com and c@d.org", ["a​@b.com", "c@d.org"]),
+    ("host eight point eight point eight point eight ok", ["eight point eight point eight point eight"]),
+    ("host eight-dot-eight-dot-eight-dot-eight ok", ["eight-dot-eight-dot-eight-dot-eight"]),
+    ("acht punkt acht punkt acht punkt acht", ["acht punkt acht punkt acht punkt acht"]),
+    ("ocho punto ocho punto ocho punto ocho", ["ocho punto ocho punto ocho punto ocho"]),
+    ("at 192 dot 168 dot 1 dot 10!", ["192 dot 168 dot 1 dot 10"]),
+    ("at 192-dot-168-dot-one-dot-10!", ["192-dot-168-dot-one-dot-10"]),
+    ("at 192.168 punkt 1 point 10!", ["192.168 punkt 1 point 10"]),
+    ("eight (dot) eight [.] eight.eight", ["eight (dot) eight [.] eight.eight"]),
+    ("call plus one two one two double five five one two three four now", ["plus one two one two double five five one two three four"]),
+    ("double four one one 1111 1111 1111, double 5", []),
+    ("four double one one 1111 1111 1111, double 5", ["four double one one 1111 1111 1111"]),
+    ("call plus 49 30 1234567", ["plus 49 30 1234567"]),
+    ("mail bob at 163 dot com or ann at one two dot com", ["bob at 163 dot com", "ann at one two dot com"]),
+    ("3 point 5 of 10 dot 20 dot 30, double 7 and double trouble", []),
     ("look at the dot in it, one two three", []),
     ("plain text at home", []),
 ])
