@@ -13,7 +13,9 @@ columns of documents.
 5. tokenize: token ids of every text, decoded again as a check.
 
 Rows without an id are kept by the near-duplicate stage; rows with equal ids and
-texts are one document there and stay once.
+texts are one document there and stay once. Rows with equal ids and different
+texts are documents of their own: each is decided by its text's group, and where
+one group's smallest id has several texts, that with the smallest row key stays.
 """
 
 from __future__ import annotations
@@ -39,10 +41,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group."""
     ship(spark)
-    groups = ngram_join.near_duplicates(docs)
-    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return left.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id is null"))
+    groups = ngram_join.near_duplicates(docs, with_keys=True)
+    gone = groups.filter("doc_id <> component_id or row_key <> component_key").select("doc_id", "row_key").distinct()
+    left = docs.withColumn("row_key", ngram_join.row_key()).join(gone, ["doc_id", "row_key"], "left_anti").select(*docs.columns)
+    return left.filter("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(left.filter("doc_id is null"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.semijoin import bitmap, keep_members
@@ -114,7 +114,7 @@ def _fingerprint(shingles: np.ndarray) -> int:
 
 
 def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(doc, n, node, check, prefix): the set's size, two fingerprints, and its rarest shingles."""
+    """(doc, key, n, node, check, prefix): the set's size, two fingerprints, and its rarest shingles."""
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(_rarity(docs.select("text"), k))  # 2 MB
     shift = np.uint64(64 - COUNTER_BITS)
@@ -133,12 +133,12 @@ def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     token.sort()
                     prefix.append(token[: m - (m * percent + 99) // 100 + 1].view(np.int64) if m else token.view(np.int64))
                 yield pa.RecordBatch.from_pydict({
-                    "doc": rows.column(0), "n": pa.array(n, pa.int32()), "node": pa.array(node, pa.int64()),
+                    "doc": rows.column(0), "key": rows.column(2), "n": pa.array(n, pa.int32()), "node": pa.array(node, pa.int64()),
                     "check": pa.array(check, pa.int64()), "prefix": pa.array(prefix, pa.list_(pa.int64())),
                 })
 
     kind = dict(docs.dtypes)["doc"]
-    return docs.mapInArrow(run, f"doc {kind}, n int, node bigint, check bigint, prefix array<bigint>")
+    return docs.mapInArrow(run, f"doc {kind}, key bigint, n int, node bigint, check bigint, prefix array<bigint>")
 
 
 def _alike(percent: int, na: str = "na", nb: str = "nb") -> str:
@@ -341,27 +341,39 @@ def linked(docs: DataFrame, described: DataFrame, reps: DataFrame, k: int, perce
     return stored(components(links), "roots")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """Tells documents with equal ids apart by their texts."""
+    return F.xxhash64(id_col, text_col)
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, percent: int = PERCENT, rounds: int = ROUNDS, with_keys: bool = False
+) -> DataFrame:
     """One row per document: id, n_shingles, component_id and class_id.
 
     component_id is the smallest id reachable by links, class_id the smallest id
-    with an equal set; both are the own id for a document without a set.
+    with an equal set; both are the own id for a document without a set. With
+    keys, also row_key and component_key, the (smallest) row_key of a document
+    with the component's smallest id in the component.
     """
-    docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), row_key(id_col, text_col).alias("key"))
     described = stored(describe(docs, k, percent), "described")
-    same = described.filter("n > 0").groupBy("node").agg(F.min("doc").alias("doc"), F.min("check").alias("low"), F.max("check").alias("high"))
+    own = F.when(F.col("doc").isNotNull(), F.struct("doc", "key"))
+    same = described.filter("n > 0").groupBy("node").agg(F.min(own).alias("own"), F.min("key").alias("any_key"), F.min("check").alias("low"), F.max("check").alias("high"))
     # Two different sets with one fingerprint would be wrong results: stop instead.
-    reps = stored(same.select("node", F.when(F.col("low") == F.col("high"), F.col("doc")).otherwise(F.raise_error(F.lit("two sets share a fingerprint"))).alias("doc")), "reps")
+    doc = F.when(F.col("low") == F.col("high"), F.col("own.doc")).otherwise(F.raise_error(F.lit("two sets share a fingerprint")))
+    reps = stored(same.select("node", doc.alias("doc"), F.coalesce("own.key", "any_key").alias("key")), "reps")
     roots = linked(docs, described, reps, k, percent, rounds)
-    classes = reps.select("node", F.col("doc").alias("class_id"))
+    classes = reps.select("node", F.col("doc").alias("class_id"), "key")
     if roots is None:
-        placed = classes.withColumn("component_id", F.col("class_id"))
+        placed = classes.select("node", "class_id", F.col("class_id").alias("component_id"), F.col("key").alias("component_key"))
     else:
         of_node = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        least = of_node.groupBy("root").agg(F.min("class_id").alias("component_id"))
-        placed = of_node.join(least, "root").select("node", "class_id", "component_id")
-    out = described.select("doc", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(placed, "node", "left")
+        least = of_node.groupBy("root").agg(F.min(F.when(F.col("class_id").isNotNull(), F.struct("class_id", "key"))).alias("least"))
+        placed = of_node.join(least, "root").select("node", "class_id", F.col("least.class_id").alias("component_id"), F.col("least.key").alias("component_key"))
+    out = described.select("doc", "key", "n", F.when(F.col("n") > 0, F.col("node")).alias("node")).join(placed, "node", "left")
     return out.select(
         F.col("doc").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
         F.coalesce("component_id", "doc").alias("component_id"), F.coalesce("class_id", "doc").alias("class_id"),
+        *([F.col("key").alias("row_key"), F.coalesce("component_key", "key").alias("component_key")] if with_keys else []),
     )

@@ -176,6 +176,16 @@ def test_stages_take_effect(spark, edge_docs, tmp_path):
     assert whole == {i: r.n_tokens for i, r in at["tokenize"].items()}
 
 
+def test_one_id_with_different_texts(spark):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(60)) for c in "abc")
+    rows = [(3, one), (5, one + " tail"), (5, two), (5, two), (5, "five other words stand here"), (5, None), (7, three), (7, three + " tail"), (8, three), (9, two + " end"), (None, one)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = sorted((r.doc_id or 0, r.text or "") for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    seven = [t for i, t in kept if i == 7]
+    assert len(seven) == 1 and seven[0] in (three, three + " tail")
+    assert kept == sorted([(0, one), (3, one), (5, ""), (5, "five other words stand here"), (5, two), (7, seven[0])])
+
+
 def test_stages_without_rows(spark, tmp_path):
     spark.createDataFrame([], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(str(tmp_path / "documents.parquet"))
