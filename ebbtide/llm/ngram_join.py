@@ -21,7 +21,9 @@ missed.
 
 Documents without words have no set and link with nothing; with fewer than
 ``K`` words the whole sequence is the one shingle. Null texts have no words.
-Rows with equal ids are rows of their own with the same id. Columns other than
+Rows with equal ids are rows of their own with the same id.
+Rows without an id link like others, but are never the smallest id: in a
+component without any id both component_id and class_id are null. Columns other than
 id and text are not looked at. An empty table has an empty result.
 """
 
@@ -192,11 +194,11 @@ def _heads(described: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _wanted_texts(docs: DataFrame, reps: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     """(node, text) of these nodes, from one document each."""
-    wanted = stored(reps.join(nodes, "node").select("node", "doc"), "wanted")
-    mask = bitmap(wanted, "doc", REDUCER_BITS)
-    texts = keep_members(docs, mask, "doc", REDUCER_BITS).join(wanted, "doc").select("node", "text")
+    wanted = stored(reps.join(nodes, "node").select("node", "key"), "wanted")
+    mask = bitmap(wanted, "key", REDUCER_BITS)  # keys, not ids: documents without an id have one too
+    texts = keep_members(docs.select("key", "text"), mask, "key", REDUCER_BITS).join(wanted, "key").select("node", "text")
 
-    def run(batches):  # an id that is there with another text too must not lend it to the node
+    def run(batches):  # a document with an equal key but another text must not lend it to the node
         for batch in batches:
             for rows, sets in _texts(batch, k):
                 own = pa.array([_fingerprint(s) for s in sets], pa.int64())

@@ -99,6 +99,18 @@ def test_ngram_join_large_groups(spark):
         assert {k: r["component_id"] for k, r in got.items()} == roots
 
 
+@pytest.mark.parametrize("rounds", [0, 5])
+def test_ngram_join_through_rows_without_ids(spark, rounds):
+    base = [f"w{k}" for k in range(60)]
+    left, right = " ".join([*base, *(f"l{k}" for k in range(8))]), " ".join([*(f"r{k}" for k in range(8)), *base])
+    alone = " ".join(f"z{k}" for k in range(60))
+    rows = [(4, left), (None, " ".join(base)), (None, " ".join(base)), (9, right), (None, alone), (None, alone + " end"), (7, "three other words")]
+    out = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), rounds=rounds).collect()
+    got = sorted((r.doc_id or 0, r.component_id, r.class_id) for r in out if r.component_id is not None)
+    assert got == [(0, 4, None), (0, 4, None), (4, 4, 4), (7, 7, 7), (9, 4, 9)]
+    assert [(r.doc_id, r.class_id) for r in out if r.component_id is None] == [(None, None)] * 2
+
+
 def test_ngram_join_without_rows(no_docs, spark):
     assert ngram_join.near_duplicates(no_docs).collect() == []
     lone = spark.createDataFrame([(None, "a b c d e f"), (4, None)], "doc_id bigint, text string")
