@@ -177,7 +177,7 @@ def _counted(page: Page) -> Counter:
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> Weights:
     """Weights from a sample of the labelled pages, about ``sample`` of them, chosen by a hash of the id."""
     rows = pages.select(F.col(id_col).alias("i"), F.col(html_col).alias("html")).filter(F.col("html").rlike("(?i)<(article|main)[ >]"))
-    total = pages.count()
+    total = rows.count()
     span = 1 << 30
     chosen = rows.filter(F.pmod(F.xxhash64(F.col("i"), F.lit("page sample")), F.lit(span)) < int(min(1.0, sample / max(total, 1)) * span)).select("html")
 
@@ -201,7 +201,7 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sampl
 
     counted = chosen.mapInArrow(run, "what string, kind string, inside boolean, n bigint, pages bigint")
     summed = counted.groupBy("what", "kind", "inside").agg(F.sum("n").alias("n"), F.sum("pages").alias("pages"))
-    return learn([tuple(r) for r in summed.orderBy(F.desc("n"), "what", "kind", "inside").limit(10_000).collect()])
+    return learn([tuple(r) for r in summed.collect()])  # bounded by the sample
 
 
 def learn(counts: list[tuple[str, str, bool, int, int]]) -> Weights:

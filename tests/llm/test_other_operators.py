@@ -55,6 +55,15 @@ def test_extraction_without_labelled_pages():
     assert html_extract.extract_text(page, weights) == f"Heading & more {plain} Second paragraph, notable and well made."
 
 
+def test_fit_on_few_labelled_pages_of_many_kinds(spark):
+    """1% of the pages are labelled, with over 10,000 kinds; one of them stands mostly outside of articles."""
+    bare = [(i, "<p>no label here</p>") for i in range(2970)]
+    page = lambda i: "".join(f"<div class=k{i}x{k}>word word word</div>" for k in range(400)) + "<div class=both>out of it</div>" * 3
+    own = [(5000 + i, f"<body>{page(i)}<div class=menux>always out</div><article>{'<div class=both>in</div>' if i == 7 else 'text'}</article></body>") for i in range(30)]
+    weights = html_extract.fit(spark.createDataFrame(bare + own, "page_id bigint, html string"), sample=30)
+    assert weights.learned_boilerplate == {"div.menux"}
+
+
 def test_extraction_of_odd_pages(spark):
     long = "<p>" + "word " * 100_000
     rows = [(1, "u", None, 0), (2, None, "", 0), (3, "u", "   <br> ", 0), (4, "u", "no markup", 0), (5, "u", "<p>a < b &lt; c <unfinished", 0), (6, "u", long, 0), (6, "u", long, 0),
