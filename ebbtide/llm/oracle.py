@@ -81,5 +81,12 @@ FROM x
 """
 
 
+OP11 = r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS n FROM d GROUP BY t)
+SELECT doc_id, keep_id, CAST(n AS BIGINT) AS group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)
+"""
+
+
 def all_queries() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1, "op3_ngram_join": OP3, "op4_decontaminate": OP4, "op7_embedding_join": OP7, "op9_warc": OP9}
+    return {"op1_substring_dedup": OP1, "op3_ngram_join": OP3, "op4_decontaminate": OP4, "op7_embedding_join": OP7, "op9_warc": OP9, "op11_exact_dedup": OP11}

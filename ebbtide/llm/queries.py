@@ -12,7 +12,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, embedding_join, html_extract, langid, ngram_join, pii, sharding, substring_dedup, warc
+from . import bpe, decontaminate, embedding_join, exact_dedup, html_extract, langid, ngram_join, pii, sharding, substring_dedup, warc
 from .scratch import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,10 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.duplicates(_table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -78,5 +82,6 @@ def all_queries() -> dict[str, Query]:
         "op8_bpe": op8_bpe,
         "op9_warc": op9_warc,
         "op10_langid": op10_langid,
+        "op11_exact_dedup": op11_exact_dedup,
         "pipeline": corpus_pipeline.run,
     }
