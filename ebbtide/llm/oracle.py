@@ -88,5 +88,20 @@ SELECT doc_id, keep_id, CAST(n AS BIGINT) AS group_size, doc_id = keep_id AS kep
 """
 
 
+OP12 = rf"""
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all({LOWER}, {_ALNUM})) AS t FROM documents),
+item AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({LOWER}, {_ALNUM})) AS t FROM benchmark),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM d GROUP BY ALL),
+size AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM size),
+weight AS (SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, whole GROUP BY t, docs),
+norm AS (SELECT doc_id, 100 - 50 + (50 * n * docs) // words AS m FROM size, whole),
+score AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+          FROM item JOIN tf USING (t) JOIN weight USING (t) JOIN norm USING (doc_id) GROUP BY ALL),
+placed AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM score WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 50
+"""
+
+
 def all_queries() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1, "op3_ngram_join": OP3, "op4_decontaminate": OP4, "op7_embedding_join": OP7, "op9_warc": OP9, "op11_exact_dedup": OP11}
+    return {"op1_substring_dedup": OP1, "op3_ngram_join": OP3, "op4_decontaminate": OP4, "op7_embedding_join": OP7, "op9_warc": OP9, "op11_exact_dedup": OP11, "op12_lexical_search": OP12}

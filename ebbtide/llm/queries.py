@@ -12,7 +12,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, embedding_join, exact_dedup, html_extract, langid, ngram_join, pii, sharding, substring_dedup, warc
+from . import bpe, decontaminate, embedding_join, exact_dedup, html_extract, langid, lexical_search, ngram_join, pii, sharding, substring_dedup, warc
 from .scratch import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,10 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -83,5 +87,6 @@ def all_queries() -> dict[str, Query]:
         "op9_warc": op9_warc,
         "op10_langid": op10_langid,
         "op11_exact_dedup": op11_exact_dedup,
+        "op12_lexical_search": op12_lexical_search,
         "pipeline": corpus_pipeline.run,
     }

@@ -1,0 +1,136 @@
+"""Ranked search against a plain evaluation of its formulas."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from ebbtide.llm import lexical_search
+from ebbtide.llm.scratch import ship
+
+from .brute import ALNUM, LOWER
+from .conftest import SCHEMA, words
+
+ITEMS = "item_id bigint, text string, term string, doc string"
+
+
+@pytest.fixture(scope="module", autouse=True)
+def shipped(spark):
+    ship(spark)
+
+
+def terms(text: str | None) -> list[str]:
+    return ALNUM.findall((text or "").translate(LOWER))
+
+
+def brute(docs: list[tuple], items: list[tuple], top: int = 50) -> set[tuple]:
+    tfs = [(doc, Counter(terms(text))) for doc, text in docs]
+    tfs = [(doc, c) for doc, c in tfs if c]
+    n_docs, n_words = len(tfs), sum(sum(c.values()) for _, c in tfs)
+    df = Counter(t for _, c in tfs for t in c)
+    own = defaultdict(set)
+    for item, text in items:
+        own[item] |= set(terms(text))
+    out = set()
+    for item, wanted in own.items():
+        scored = []
+        for doc, c in tfs:
+            m = 100 - 50 + (50 * sum(c.values()) * n_docs) // n_words
+            score = 0
+            for t in wanted & set(c):
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                score += w * ((1000000000 * c[t]) // (1000 * c[t] + 20 * m))
+            if score > 0:
+                scored.append((-score, doc is None, doc or 0))
+        for rank, (score, none, doc) in enumerate(sorted(scored)[:top], 1):
+            out.add((item, rank, None if none else doc, -score))
+    return out
+
+
+def result(df) -> set[tuple]:
+    rows = [tuple(r) for r in df.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+@pytest.fixture(scope="module")
+def items(edge_texts):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.sample((edge_texts[10] or "").split(), 12))) for i in range(30)]
+    rows += [(40, "again tail END"), (41, "été 中文 one, TWO;three"), (42, ""), (43, None), (44, "nowhere at all"), (45, "..."), (46, edge_texts[64]),
+             (47, "w1 w1 w1"), (48, "w1"), (48, "w2"), (None, "three one"), (49, "a" * 50_000), (50, "aa")]
+    return rows
+
+
+def test_edge_rows_equal_brute_force(spark, edge_docs, items):
+    docs = [(r.doc_id, r.text) for r in edge_docs.select("doc_id", "text").collect()]
+    asked = spark.createDataFrame([(*r, "x", "y") for r in items], ITEMS)
+    assert result(lexical_search.search(edge_docs, asked)) == brute(docs, items)
+
+
+def test_blocks_and_chunks_change_nothing(spark, edge_docs, items, monkeypatch):
+    docs = [(r.doc_id, r.text) for r in edge_docs.select("doc_id", "text").collect()]
+    asked = spark.createDataFrame([(*r, "x", "y") for r in items[::4]], ITEMS)
+    monkeypatch.setattr(lexical_search, "SALTS", 3)
+    got = lexical_search.search(edge_docs.repartition(9), asked, top=4, block_bytes=120, block_pairs=40)
+    assert result(got) == brute(docs, items[::4], 4)
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 20])
+def test_counts_and_scores_in_small_steps(chunk, monkeypatch):
+    monkeypatch.setattr(lexical_search, "CHUNK", chunk)
+    rng = random.Random(chunk)
+    texts = [words(rng, rng.randrange(60), 20) for _ in range(40)] + ["", "  ", "w1" * 3, "w1-w2\x00w3 W4"]
+    block = lexical_search.Block([(i, sorted({f"w{rng.randrange(25)}".encode() for _ in range(6)})) for i in range(9)])
+    data = "".join(texts).encode()
+    at = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    n, text, term, tf = block.counts(np.frombuffer(data, np.uint8), at)
+    assert n.tolist() == [len(terms(t)) for t in texts]
+    got = {(int(a), block.terms[b].decode()): int(c) for a, b, c in zip(text, term, tf, strict=True)}
+    assert got == {(i, w): c for i, t in enumerate(texts) for w, c in Counter(terms(t)).items() if w.encode() in block.terms}
+    block.weigh(40, 1000, np.arange(len(block.terms)) % 30)
+    scores = {}
+    for t, item, score in block.scores(n, text, term, tf):
+        scores.update({(int(a), int(b)): int(c) for a, b, c in zip(t, item, score, strict=True)})
+    expected = defaultdict(int)
+    for (i, w), c in got.items():
+        k = block.terms.index(w.encode())
+        m = 50 + 50 * int(n[i]) * 40 // 1000
+        for item in block.item_of[block.first[k] : block.first[k + 1]].tolist():
+            expected[i, item] += int(block.weight[k]) * ((10**9 * c) // (1000 * c + 20 * m))
+    assert scores == {k: v for k, v in expected.items() if v}
+
+
+def test_the_best_are_kept_with_ties():
+    rng = np.random.default_rng(2)
+    rows = [(int(i), int(s), bool(z), int(d)) for i, s, z, d in zip(rng.integers(0, 3, 4000), rng.integers(1, 6, 4000), rng.random(4000) < 0.02, rng.permutation(4000), strict=True)]
+    best = lexical_search.Best(3, 10)
+    best.limit = 100
+    for a in range(0, 4000, 130):
+        best.add(*(np.array(x) for x in zip(*rows[a : a + 130], strict=True)))
+    got = list(zip(*(x.tolist() for x in best.best()), strict=True))
+    for item in range(3):
+        own = sorted((r for r in rows if r[0] == item), key=lambda r: (-r[1], r[2], r[3]))[:10]
+        assert [r for r in got if r[0] == item] == own
+
+
+def test_a_common_word_and_repeated_rows(spark):
+    rows = [(i, "common word " * (1 + i % 3) + f"own{i}") for i in range(500)] + [(7, "common rare")] * 3 + [(None, "rare word")]
+    items = [(1, "common"), (2, "rare own9"), (3, "word own499 own3")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(13)
+    got = [tuple(r) for r in lexical_search.search(docs, spark.createDataFrame(items, "item_id bigint, text string"), top=20).collect()]
+    assert len({r[:2] for r in got}) == len(got)
+    assert {r for r in got} == brute(rows, items, 20)
+
+
+def test_empty_tables(spark, edge_docs):
+    none = spark.createDataFrame([], ITEMS)
+    one = spark.createDataFrame([(1, "one", "x", "y")], ITEMS)
+    got = lexical_search.search(edge_docs, none)
+    assert got.collect() == [] and got.columns == ["item_id", "rank", "doc_id", "score"]
+    assert lexical_search.search(spark.createDataFrame([], SCHEMA), one).collect() == []
+    assert lexical_search.search(spark.createDataFrame([(1, None), (2, "")], "doc_id bigint, text string"), one).collect() == []
