@@ -11,8 +11,9 @@ from collections.abc import Callable
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embedding_join, exact_dedup, html_extract, langid, lexical_search, ngram_join, pii, sharding, substring_dedup, warc
+from . import bpe, decontaminate, embedding_join, exact_dedup, html_extract, langid, lexical_search, ngram_join, pii, sharding, substring_dedup, warc, whitening
 from .scratch import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +75,11 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -88,5 +94,6 @@ def all_queries() -> dict[str, Query]:
         "op10_langid": op10_langid,
         "op11_exact_dedup": op11_exact_dedup,
         "op12_lexical_search": op12_lexical_search,
+        "op13_whitening": op13_whitening,
         "pipeline": corpus_pipeline.run,
     }
