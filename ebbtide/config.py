@@ -7,6 +7,7 @@ them only through ``SegmentConfig(...)`` / ``dataclasses.replace``.
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 from dataclasses import dataclass, field
 
 # ---------------------------------------------------------------------------
@@ -96,6 +97,14 @@ class SegmentConfig:
         default_factory=lambda: (Arm(*ARM_CONTROL), Arm(*ARM_INCENTIVE))
     )
 
+    # Customer ids: "unique" states that the table's id is a non-NULL key;
+    # "checked" evaluates NOT IN by a null-aware join and raises on an id that
+    # two eligible customers have.
+    customer_ids: str = "unique"
+    # Comparisons of ratios: "double" divides first, as written; "exact" compares
+    # the cross-multiplied whole numbers, so that ties are ties.
+    ratios: str = "double"
+
     # --- execution knobs (do not change results) ---------------------------
     # Broadcast the eligible-customer side of the orders join only when its
     # counted size stays under this many bytes; None = the session's
@@ -103,12 +112,12 @@ class SegmentConfig:
     broadcast_max_bytes: int | None = None
     # Bytes per broadcast row of a long-keyed hash relation (measured dataSize: 83.9).
     broadcast_row_bytes: int = 84
-    # Beyond the budget, filter orders map-side with a hashed bitmap of the
-    # eligible ids. Its broadcast is bounded by bitmap_max_bytes whatever the
-    # number of ids (64 MB = 107M bits: ~9% false positives at 10M ids; with
-    # more ids than bits it only filters less). A row measures 40.0 bytes.
+    # Beyond the budget, filter orders map-side with a blocked bitmap of the
+    # eligible ids, sized from their count (12 bits an id: under 1% of other ids
+    # pass) up to bitmap_max_bytes, enough for 21M ids; beyond, more pass.
     prefilter: bool = True
     bitmap_max_bytes: int = 64 * 1024 * 1024
+    # Measured bytes a row of the plain bitmap (semijoin.bitmap).
     bitmap_row_bytes: int = 40
     # Layout of orders: True where files are laid out by created_at. Then the
     # customers with an order in the recency range, read through a pushed
@@ -131,9 +140,11 @@ class SegmentConfig:
 
     def __post_init__(self):
         # Fail fast on a malformed clock instead of a NULL/ANSI cast error later.
-        import datetime as _dt
-
-        _dt.datetime.fromisoformat(self.as_of)
+        dt.datetime.fromisoformat(self.as_of)
+        if self.customer_ids not in ("unique", "checked"):
+            raise ValueError("customer_ids is 'unique' or 'checked'")
+        if self.ratios not in ("double", "exact"):
+            raise ValueError("ratios is 'double' or 'exact'")
         if self.target_partition_bytes <= 0:
             raise ValueError("target_partition_bytes must be positive")
         if len(self.window_names) < 2:
@@ -161,4 +172,7 @@ class SegmentConfig:
 FIXTURE_AS_OF = "2020-08-14 12:00:00"
 FIXTURE_AS_OF_MIDNIGHT = "2020-08-14 00:00:00"
 FIXTURE_AS_OF_MONTH_END = "2020-07-31 18:30:00"
+# 30 run times, day by day up to the fixture's; every sixth at midnight
+BACKFILL = tuple(str(_day.replace(hour=0 if _day.day % 6 == 0 else 12)) for _day in (
+    dt.datetime(2020, 8, 14, 12) - dt.timedelta(days=_k) for _k in range(29, -1, -1)))
 FIXTURE_NO_ORDERS = "2021-03-01 09:00:00"  # long after the last order of the fixtures

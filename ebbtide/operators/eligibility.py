@@ -4,7 +4,10 @@ All predicates are plain Column expressions on the customers scan, so
 Catalyst pushes the null tests and the signup range into the Parquet reader.
 The exclusion "id NOT IN (customers that look like businesses)" reads the same
 table, so for a unique, non-NULL id it is a row predicate: no anti-join and
-no second scan of customers.
+no second scan of customers. That is the default, for tables that declare their
+key. With ``customer_ids="checked"`` nothing is assumed: NOT IN is a null-aware
+anti-join (``not_in``), so that a NULL id among the excluded empties the result as
+SQL demands, and an id that two eligible rows have stops the job.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import SegmentConfig
 from ..functions.dates import calendar_day_range
+from .not_in import not_in, unique
 
 
 def signup_in_range(cfg: SegmentConfig) -> Column:
@@ -42,10 +46,23 @@ def not_excluded(cfg: SegmentConfig) -> Column:
     return ~F.coalesce(looks_like_business(cfg), F.lit(False))
 
 
+def excluded_ids(customers: DataFrame, cfg: SegmentConfig) -> DataFrame:
+    """The subquery of NOT IN: ids, NULL ones too, of customers that look like businesses."""
+    return customers.filter(looks_like_business(cfg)).select("id")
+
+
 def customer_filter(cfg: SegmentConfig) -> Column:
     return signup_in_range(cfg) & not_deleted() & payment_matches(cfg) & not_excluded(cfg)
 
 
+def passing(customers: DataFrame, cfg: SegmentConfig) -> DataFrame:
+    """Customers that pass all tests of their own row and the exclusion."""
+    if cfg.customer_ids == "unique":
+        return customers.filter(customer_filter(cfg))
+    rows = customers.filter(signup_in_range(cfg) & not_deleted() & payment_matches(cfg))
+    return not_in(rows, "id", excluded_ids(customers, cfg))
+
+
 def active_subscription() -> Column:
     return (
         F.col("deleted_at").isNull()
@@ -75,5 +92,8 @@ def eligible_customers(customers: DataFrame, subscriptions: DataFrame,
     the joined variant would multiply only the recency count, which is only
     ever tested for >= 1, so every list is unchanged.
     """
-    base = customers.filter(customer_filter(cfg)).select(F.col("id").alias("cid"), *attrs)
+    base = passing(customers, cfg).select(F.col("id").alias("cid"), *attrs)
+    if cfg.customer_ids == "checked":
+        # a NULL id matches no order and no subscription
+        base = unique(base.filter("cid is not null"), "cid")
     return base.join(active_subscribers(subscriptions, cfg), "cid", "left_semi")

@@ -33,7 +33,7 @@ def delivered_orders(orders: DataFrame, cfg: SegmentConfig) -> DataFrame:
     """Delivered orders that have a delivery time (both tests push to Parquet)."""
     return orders.filter(
         (F.col("status") == cfg.delivered_status) & F.col("delivered_at").isNotNull()
-    ).select("id", "customer_id", "created_at", "actual_subtotal")
+    ).select("id", "customer_id", "created_at", "actual_subtotal", *[c for c in orders.columns if c == skew.SALT])
 
 
 def recent_customers(orders: DataFrame, cfg: SegmentConfig) -> DataFrame:
@@ -52,8 +52,9 @@ class Edges:
     tenure: Column
 
 
-def edges(cfg: SegmentConfig) -> Edges:
-    now = ntz(cfg.as_of)
+def edges(cfg: SegmentConfig, now: Column | None = None) -> Edges:
+    """The edges at ``now`` (a column of times, for many run dates), by default ``cfg.as_of``."""
+    now = ntz(cfg.as_of) if now is None else now
     d = cfg.window_days
     wins = tuple(
         (days_before(now, d * (k + 1)), now if k == 0 else days_before(now, d * k))
@@ -113,7 +114,9 @@ def _merge_aggs(cfg: SegmentConfig, with_value: bool) -> list[Column]:
     return aggs
 
 
-def _finish(df: DataFrame, cfg: SegmentConfig, e: Edges, with_value: bool) -> DataFrame:
+def finish(df: DataFrame, cfg: SegmentConfig, with_value: bool, now: Column | None = None, *more: str) -> DataFrame:
+    """The history's columns (and ``more`` of ``df``) from per-customer aggregates, windows masked."""
+    e = edges(cfg, now)
     first = F.col("_first")
     out = [
         F.col("customer_id").alias("cid"),
@@ -137,7 +140,7 @@ def _finish(df: DataFrame, cfg: SegmentConfig, e: Edges, with_value: bool) -> Da
         for k, blank in enumerate(masks):
             gmv = F.col(f"_v{k}").cast("decimal(38,2)")
             out.append(masked(blank, gmv).alias(gmv_col(cfg, k)))
-    return df.select(*out)
+    return df.select(*out, *more)
 
 
 def order_history(delivered: DataFrame, cfg: SegmentConfig, with_value: bool = False,
@@ -153,20 +156,25 @@ def order_history(delivered: DataFrame, cfg: SegmentConfig, with_value: bool = F
     keys = ["customer_id"]
     if plan.salted:
         rows = skew.with_salt(rows, plan)
+    salted = skew.SALT in rows.columns
+    if salted:
         keys.append(skew.SALT)
-    # Without an explicit count AQE may coalesce the partitions further.
-    shuffled = (rows.repartition(plan.partitions, *keys) if plan.partitions
-                else rows.repartition(*keys))
+    if plan.in_place:
+        shuffled = rows
+    else:
+        # Without an explicit count AQE may coalesce the partitions further.
+        shuffled = (rows.repartition(plan.partitions, *keys) if plan.partitions
+                    else rows.repartition(*keys))
     per_key = shuffled.groupBy(*keys).agg(*_partial_aggs(cfg, e, with_value))
-    if plan.salted:
+    if salted:
         per_key = per_key.groupBy("customer_id").agg(*_merge_aggs(cfg, with_value))
-    return _finish(per_key, cfg, e, with_value)
+    return finish(per_key, cfg, with_value)
 
 
-def regular(history: DataFrame, cfg: SegmentConfig) -> DataFrame:
+def regular(history: DataFrame, cfg: SegmentConfig, now: Column | None = None) -> DataFrame:
     """Regular customers: enough lifetime orders, a recent order, and a first
     order more than ``tenure_months`` calendar months ago (strict)."""
-    e = edges(cfg)
+    e = edges(cfg, now)
     return history.filter(
         (F.col("total_orders_lifetime") >= cfg.min_orders)
         & (F.col("recency") >= cfg.min_recent)

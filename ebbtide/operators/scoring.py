@@ -41,7 +41,7 @@ def cohort(cfg: SegmentConfig, avg: Column | None = None) -> Column:
     )
 
 
-def score(history: DataFrame, cfg: SegmentConfig, with_value: bool = False) -> DataFrame:
+def score(history: DataFrame, cfg: SegmentConfig, with_value: bool = False, now: Column | None = None) -> DataFrame:
     """Add the average, cohort, magnitude, recency-gap and drop columns.
 
     The newest window is the observation; the others form the baseline, and
@@ -56,7 +56,7 @@ def score(history: DataFrame, cfg: SegmentConfig, with_value: bool = False) -> D
         avg.alias(AVG),
         cohort(cfg, avg).alias(COHORT),
         ratio(adjacent_change(counts), avg).alias(MAGNITUDE),
-        days_between(F.col("last_order_date"), ntz(cfg.as_of)).alias(DAYS_SINCE),
+        days_between(F.col("last_order_date"), ntz(cfg.as_of) if now is None else now).alias(DAYS_SINCE),
         ratio(F.lit(cfg.window_days), avg).alias(GAP),
         (avg - newest).alias(drop_col(cfg)),
     ]

@@ -45,6 +45,7 @@ class ShufflePlan:
     partitions: int | None = None
     hot: list[tuple[int, int]] = field(default_factory=list)
     every: int = 1  # splits of every other key
+    in_place: bool = False  # rows lie by key (and salt, if they have one) already
 
     @property
     def salted(self) -> bool:

@@ -11,7 +11,7 @@ repeating them.
 
 from __future__ import annotations
 
-from .config import (FIXTURE_AS_OF, FIXTURE_AS_OF_MIDNIGHT, FIXTURE_AS_OF_MONTH_END, FIXTURE_NO_ORDERS,
+from .config import (BACKFILL, FIXTURE_AS_OF, FIXTURE_AS_OF_MIDNIGHT, FIXTURE_AS_OF_MONTH_END, FIXTURE_NO_ORDERS,
                      SegmentConfig)
 from .sources import fixtures as fx
 
@@ -382,4 +382,13 @@ def all_queries() -> dict[str, str]:
         out[f"list_base_{name}"] = out["list_base"]
     out["list_base_reduced_midnight"] = out["list_base_midnight"]
     out["list_details_salted"] = out["list_details"]
+    for name in ("list_base", "list_base_midnight", "list_details", "order_lifetime"):
+        out[f"{name}_incremental"] = out[name]
+    out["elig_not_in"] = out["elig_not_excluded"]
+    out["list_base_checked"] = out["list_base"]
+    out["list_details_exact"] = out["list_details"]
+    out["list_base_bucketed"] = out["list_base_bucketed_join"] = out["list_base"]
+    out["list_details_bucketed_hot"] = out["list_details"]
+    out["list_base_backfill"] = "\nUNION ALL\n".join(
+        f"SELECT * FROM ({list_queries(Sql(SegmentConfig(as_of=t)))['list_base']})" for t in BACKFILL)
     return out

@@ -9,14 +9,17 @@ Plan shape (orders is the only large input):
 * if the eligible ids fit the broadcast budget (counted, not estimated),
   delivered orders are semi-joined against a broadcast of them: a map-side
   filter, so only eligible customers' orders reach the shuffle;
-  otherwise orders are filtered map-side by a hashed bitmap of the eligible
-  ids (bounded by ``cfg.bitmap_max_bytes``, no false negatives), aggregated,
+  otherwise orders are filtered map-side by a blocked bitmap of the eligible
+  ids (sized from their count, bounded by ``cfg.bitmap_max_bytes``, no false
+  negatives), aggregated,
   and the
   per-customer result -- one row per customer -- is joined exactly with the
   eligible ids, a join of two unique-keyed sides that cannot skew;
 * one hash shuffle on customer id (+ salt for hot customers, partition count
   from the counts that an earlier run saved, or from a sample on a first run) feeds the one-pass history aggregate; scores,
   labels and filters are narrow;
+* orders that are stored in buckets by customer (``sources.buckets``) are
+  aggregated and joined where they lie, without that shuffle;
 * metro and arm attributes join the (small) result back to customers; the
   metro table is broadcast only after counting it.
 """
@@ -37,7 +40,7 @@ def eligible(tables: Tables, cfg: SegmentConfig, *attrs: str) -> DataFrame:
     return eligibility.eligible_customers(tables.customers, tables.subscriptions, cfg, *attrs)
 
 
-def _candidates(tables: Tables, cfg: SegmentConfig) -> DataFrame:
+def candidates(tables: Tables, cfg: SegmentConfig) -> DataFrame:
     # Customers passing the row predicates bound the eligible ids from above
     # (the subscription semi-join only removes rows) and are cheaper to count.
     return tables.customers.filter(eligibility.customer_filter(cfg)).select("id")
@@ -54,22 +57,30 @@ def plan_orders(tables: Tables, cfg: SegmentConfig) -> skew.ShufflePlan:
     return skew.plan_shuffle(_delivered(tables, cfg), cfg)
 
 
-def _reduced(delivered: DataFrame, ids: DataFrame, how: str, bits: int) -> DataFrame:
+def reduced(delivered: DataFrame, ids: DataFrame, how: str, n: int) -> DataFrame:
     """Orders that may be those of ``ids``: exactly theirs if broadcast."""
     if how == "broadcast":
         keys = ids.select(F.col("cid").alias("customer_id"))
         return delivered.join(F.broadcast(keys), "customer_id", "left_semi")
     if how == "bitmap":
-        return semijoin.keep_members(delivered, semijoin.bitmap(ids, "cid", bits), "customer_id", bits)
+        return semijoin.keep_listed(delivered, semijoin.blocks(ids, "cid", n), "customer_id", n)
     return delivered
 
 
+def eligible_orders(tables: Tables, cfg: SegmentConfig) -> DataFrame:
+    """Delivered orders, reduced map-side to those that may be eligible customers'."""
+    ids = eligible(tables, cfg)
+    n_ids = strategy.bounded_count(tables.customers, candidates(tables, cfg), cfg)
+    how, bits = strategy.orders_join(tables.orders.sparkSession, cfg, n_ids)
+    return reduced(_delivered(tables, cfg), ids, how, bits).select("id", "customer_id", "created_at", "actual_subtotal")
+
+
 def customer_orders(tables: Tables, cfg: SegmentConfig, broadcast: bool | None = None) -> DataFrame:
     """Delivered orders of the eligible customers, one row per order."""
     ids = eligible(tables, cfg)
-    n_ids = strategy.bounded_count(tables.customers, _candidates(tables, cfg), cfg)
+    n_ids = strategy.bounded_count(tables.customers, candidates(tables, cfg), cfg)
     how, bits = strategy.orders_join(tables.orders.sparkSession, cfg, n_ids, broadcast)
-    rows = _reduced(_delivered(tables, cfg), ids, how, bits)
+    rows = reduced(_delivered(tables, cfg), ids, how, bits)
     if how == "broadcast":
         return rows
     return rows.join(ids.select(F.col("cid").alias("customer_id")), "customer_id", "left_semi")
@@ -91,12 +102,14 @@ def customer_history(tables: Tables, cfg: SegmentConfig, with_value: bool = Fals
     ids = eligible(tables, cfg, *attrs)
     if recent_only and cfg.orders_by_created_at and cfg.min_recent >= 1:
         ids = ids.join(history.recent_customers(tables.orders, cfg), "cid", "left_semi")
+    if tables.in_buckets:
+        return _bucket_history(tables, cfg, with_value, broadcast, counts, attrs, ids)
     delivered = _delivered(tables, cfg)
     n_ids, plan = strategy.probe_orders_pass(
-        tables.customers, _candidates(tables, cfg), delivered, cfg, plan)
+        tables.customers, candidates(tables, cfg), delivered, cfg, plan)
     how, bits = strategy.orders_join(tables.orders.sparkSession, cfg, n_ids, broadcast)
     per_customer = history.order_history(
-        _reduced(delivered, ids, how, bits), cfg, with_value, plan)
+        reduced(delivered, ids, how, bits), cfg, with_value, plan)
     if counts is not None:
         per_customer = counts.watch(per_customer)
     if how == "broadcast" and not attrs:
@@ -106,15 +119,38 @@ def customer_history(tables: Tables, cfg: SegmentConfig, with_value: bool = Fals
     return per_customer.join(ids, "cid", "inner")
 
 
+def _bucket_history(tables: Tables, cfg: SegmentConfig, with_value: bool, broadcast: bool | None,
+                    counts: skew.Counts | None, attrs: tuple[str, ...], ids: DataFrame) -> DataFrame:
+    """``customer_history`` of orders in buckets: aggregated where they lie. Where the
+    ids are not broadcast, they are shuffled to the buckets and joined there."""
+    n_ids = strategy.bounded_count(tables.customers, candidates(tables, cfg), cfg)
+    how, _ = strategy.orders_join(tables.orders.sparkSession, cfg, n_ids, broadcast)
+    in_place = skew.ShufflePlan(in_place=True)
+
+    def of(orders: DataFrame) -> DataFrame:
+        rows = history.delivered_orders(orders, cfg)
+        if how == "broadcast":
+            rows = reduced(rows, ids, how, 0)
+        return history.order_history(rows, cfg, with_value, in_place)
+
+    def listed(per: DataFrame) -> DataFrame:
+        return per if how == "broadcast" and not attrs else per.join(ids, "cid", "inner")
+
+    per_customer = listed(of(tables.orders))
+    if tables.hot_orders is not None:
+        per_customer = per_customer.unionByName(listed(of(tables.hot_orders)))
+    return counts.watch(per_customer) if counts is not None else per_customer
+
+
 def regular_history(tables: Tables, cfg: SegmentConfig, with_value: bool = False,
                     broadcast: bool | None = None, **options) -> DataFrame:
     return history.regular(customer_history(
         tables, cfg, with_value, broadcast, recent_only=True, **options), cfg)
 
 
-def labelled(regular: DataFrame, cfg: SegmentConfig, with_value: bool = False) -> DataFrame:
+def labelled(regular: DataFrame, cfg: SegmentConfig, with_value: bool = False, now=None) -> DataFrame:
     """Scores, decline filter and sub-group of regular customers."""
-    scored = scoring.score(regular, cfg, with_value)
+    scored = scoring.score(regular, cfg, with_value, now)
     return segments.declining(scored, cfg).withColumn("sub_group", segments.sub_group(cfg))
 
 
@@ -214,12 +250,18 @@ def shared_pass(tables: Tables, cfg: SegmentConfig, wanted: tuple[str, ...] = LI
     to the shared folder; each list is a cheap projection of that small table
     (the metro list also joins the counted metros broadcast).
     """
+    return from_declining(tables, cfg, wanted, lambda with_value, attrs: declining_customers(
+        tables, cfg, with_value=with_value, plan=plan, counts=counts, attrs=attrs))
+
+
+def from_declining(tables: Tables, cfg: SegmentConfig, wanted: tuple[str, ...],
+                   make_declining) -> tuple[dict[str, DataFrame], str]:
+    """The wanted lists from ``make_declining(with_value, attrs)``, stored once, and its path."""
     unknown = sorted(set(wanted) - set(LISTS))
     if unknown:
         raise ValueError(f"unknown lists: {', '.join(unknown)}")
     attrs = ("metro_id",) * ("metro" in wanted) + ("bucket_number",) * ("test" in wanted)
-    declining, path = strategy.reliable(declining_customers(
-        tables, cfg, with_value="details" in wanted, plan=plan, counts=counts, attrs=attrs))
+    declining, path = strategy.reliable(make_declining("details" in wanted, attrs))
     make = {
         "base": lambda: base_from(declining, cfg),
         "metro": lambda: metro_from(declining, tables, cfg),

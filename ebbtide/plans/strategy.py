@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SegmentConfig
-from ..operators import skew
+from ..operators import semijoin, skew
 
 DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
@@ -73,8 +73,8 @@ def probe_orders_pass(everyone: DataFrame, some: DataFrame, delivered: DataFrame
 def orders_join(spark: SparkSession, cfg: SegmentConfig, n_ids: int,
                 broadcast: bool | None = None) -> tuple[str, int]:
     """How orders meet the eligible ids: ("broadcast", 0) when ``n_ids`` ids
-    fit the budget; else ("bitmap", bits) for a map-side prefilter whose
-    broadcast is bounded by ``cfg.bitmap_max_bytes``; else ("none", 0), also
+    fit the budget; else ("bitmap", blocks) for a map-side prefilter sized by
+    ``n_ids``, whose broadcast is bounded by ``cfg.bitmap_max_bytes``; else ("none", 0), also
     where the session forbids broadcasts. ``broadcast`` True/False forces or
     forbids the exact broadcast."""
     budget = broadcast_budget(spark, cfg)
@@ -82,10 +82,9 @@ def orders_join(spark: SparkSession, cfg: SegmentConfig, n_ids: int,
         broadcast = budget > 0 and n_ids * cfg.broadcast_row_bytes <= budget
     if broadcast:
         return "broadcast", 0
-    # At most bits/64 rows of bitmap_row_bytes each: a bound set by config.
-    bits = 64 * (max(cfg.bitmap_max_bytes, 0) // cfg.bitmap_row_bytes)
-    if cfg.prefilter and bits > 0 and budget > 0:
-        return "bitmap", bits
+    blocks = semijoin.n_blocks(n_ids, max(cfg.bitmap_max_bytes, 0))
+    if cfg.prefilter and blocks > 0 and budget > 0:
+        return "bitmap", blocks
     return "none", 0
 
 

@@ -7,16 +7,18 @@ names match the DuckDB oracle in ``ebbtide.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .config import (FIXTURE_AS_OF, FIXTURE_AS_OF_MIDNIGHT, FIXTURE_AS_OF_MONTH_END, FIXTURE_NO_ORDERS,
+from .config import (BACKFILL, FIXTURE_AS_OF, FIXTURE_AS_OF_MIDNIGHT, FIXTURE_AS_OF_MONTH_END, FIXTURE_NO_ORDERS,
                      SegmentConfig)
 from .operators import eligibility, history, scoring, segments, skew
-from .plans import lists
-from .sources import fixtures
+from .operators.not_in import not_in
+from .plans import backfill, incremental, lists, strategy
+from .sources import buckets, fixtures
 from .sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,6 +169,50 @@ def _base(cfg: SegmentConfig, **options) -> Query:
     return q
 
 
+def _state(spark, sf_dir) -> incremental.State:
+    """The history state after three runs, each reading the orders of its own slice."""
+    folder = f"{strategy.checkpoint_dir(spark)}/state-{uuid.uuid4().hex}"
+    for until in fixtures.ARRIVAL_EDGES:
+        state = incremental.advance_until(spark, folder, _t(spark, sf_dir).orders, until, MIDDAY)
+    return state
+
+
+def _incremental(name: str, cfg: SegmentConfig) -> Query:
+    def q(spark, sf_dir):
+        return incremental.wanted_lists(_t(spark, sf_dir), _state(spark, sf_dir), cfg, (name,))[0][name]
+    return q
+
+
+def order_lifetime_incremental(spark, sf_dir):
+    return incremental.customer_history(_t(spark, sf_dir), _state(spark, sf_dir), MIDDAY).select(
+        "cid", "first_order_date", "last_order_date", "total_orders_lifetime")
+
+
+def _not_in_ids(spark, sf_dir):
+    customers = _t(spark, sf_dir).customers
+    return not_in(customers, "id", eligibility.excluded_ids(customers, MIDDAY)).select("id")
+
+
+def list_base_backfill(spark, sf_dir):
+    """The base list of 30 run dates from one pass over the orders."""
+    return backfill.base_lists(_t(spark, sf_dir), MIDDAY, list(BACKFILL))[0]
+
+
+def _bucketed(spark, sf_dir, plan: skew.ShufflePlan | None) -> Tables:
+    """The fixture's orders stored in buckets, as a loading job would."""
+    name = f"orders_{uuid.uuid4().hex}"
+    t = _t(spark, sf_dir)
+    buckets.store_orders(t.orders, name, skew.shuffle_partitions(spark), plan, f"{strategy.checkpoint_dir(spark)}/{name}")
+    return buckets.load(spark, name, t)
+
+
+def _bucket_list(fn, plan: skew.ShufflePlan | None = None, **options) -> Query:
+    def q(spark, sf_dir):
+        t = _bucketed(spark, sf_dir, plan)
+        return fn(lists.declining_customers(t, MIDDAY, **options))
+    return q
+
+
 def list_details_salted(spark, sf_dir):
     """The detail list with every customer split, so the salted two-level
     aggregation is exercised on the whole table."""
@@ -234,6 +280,23 @@ def all_spark_queries() -> dict[str, Query]:
         "list_base_reduced": _base(MIDDAY.replace(orders_by_created_at=True)),
         "list_base_reduced_midnight": _base(MIDNIGHT.replace(orders_by_created_at=True)),
         "list_details_salted": list_details_salted,
+        # from history kept between runs, which read one slice of the orders each
+        "list_base_incremental": _incremental("base", MIDDAY),
+        "list_base_midnight_incremental": _incremental("base", MIDNIGHT),
+        "list_details_incremental": _incremental("details", MIDDAY),
+        "order_lifetime_incremental": order_lifetime_incremental,
+        "list_base_backfill": list_base_backfill,
+        # NOT IN by a null-aware join, ids checked; ratios compared as whole numbers
+        "elig_not_in": _not_in_ids,
+        "list_base_checked": _base(MIDDAY.replace(customer_ids="checked")),
+        "list_details_exact": _list(lists.detail_list, MIDDAY.replace(ratios="exact")),
+        # orders stored in buckets by customer: aggregated without an exchange of orders
+        "list_base_bucketed": _bucket_list(lambda d: lists.base_from(d, MIDDAY)),
+        # the same with ids too many to broadcast, joined in the buckets
+        "list_base_bucketed_join": _bucket_list(lambda d: lists.base_from(d, MIDDAY), broadcast=False),
+        # three customers in the table of those with many orders
+        "list_details_bucketed_hot": _bucket_list(
+            lambda d: lists.details_from(d, MIDDAY), skew.ShufflePlan(hot=[(3, 4), (7, 2), (21, 3)]), with_value=True),
         "scores_zero_average": scores_zero_average,
         "all_lists_base": _of_all("base"),
         "all_lists_metro": _of_all("metro"),

@@ -12,6 +12,10 @@ the wanted lists in one pass over orders and writes them under
 ``--out-catalog``, partitioned by run date. Intermediate tables go to
 ``spark.checkpoint.dir`` (set it to a shared folder) and are deleted at the end.
 
+With ``--publish`` the lists become visible all at once under ``--out``. With
+``--state`` the history of earlier runs is kept in a folder, and a run reads only
+the orders that arrived since.
+
 The counts that size the orders shuffle are kept under ``--counts`` (default
 ``<out>/_counts``; with ``--out-catalog`` only if given): a run plans from those
 of the run before and saves its own.
@@ -27,7 +31,7 @@ from pyspark.sql import SparkSession
 
 from .config import SegmentConfig
 from .operators import skew
-from .plans import lists, strategy
+from .plans import incremental, lists, strategy
 from .session import tune
 from .sources import sinks, tables
 
@@ -60,6 +64,11 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--out", required=True, help="output folder (or table name prefix)")
     p.add_argument("--out-catalog", action="store_true", help="write catalog tables")
     p.add_argument("--out-format", default="parquet")
+    p.add_argument("--publish", action="store_true",
+                   help="make the lists visible under --out all at once (read them by sinks.published)")
+    p.add_argument("--state", help="folder of the history kept between runs: only orders that arrived "
+                                   "since the last run are read (see plans.incremental)")
+    p.add_argument("--arrived-until", help="with --state: read orders delivered before this time (default --as-of)")
     p.add_argument("--counts", help="folder of the counts that size the shuffle")
     p.add_argument("--lists", type=_lists, default=",".join(lists.LISTS),
                    help="comma-separated subset of base,metro,test,details")
@@ -85,6 +94,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
                         orders_by_created_at=args.orders_by_created_at)
     saved = args.counts or (None if args.out_catalog else f"{args.out.rstrip('/')}/_counts")
     plan = skew.saved_plan(spark, saved, cfg) if saved else None
+    if args.publish and args.out_catalog:
+        raise ValueError("--publish writes folders, not catalog tables")
     if args.explain:
         # Plans of the single lists (ids are still counted, and a first run
         # still samples: that decides the plan); nothing is written.
@@ -95,18 +106,26 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
             print(f"== {name} ==")
             single[name](t, cfg, plan).explain(mode="formatted")
         return {}
-    counts = skew.Counts(cfg)
-    out, stage = lists.shared_pass(t, cfg, args.lists, plan, counts)
+    counts = None
+    if args.state:
+        until = resolve_as_of(args.arrived_until, args.time_zone) if args.arrived_until else cfg.as_of
+        held = incremental.advance_until(spark, args.state, t.orders, until, cfg)
+        out, stage = incremental.wanted_lists(t, held, cfg, args.lists)
+    else:
+        counts = skew.Counts(cfg)
+        out, stage = lists.shared_pass(t, cfg, args.lists, plan, counts)
     written = {}
     try:
-        for name, df in out.items():
+        if args.publish:
+            written = sinks.publish(out, args.out, cfg.as_of[:10], args.out_format)
+        for name, df in () if args.publish else out.items():
             if args.out_catalog:
                 written[name] = f"{args.out}_{name}"
                 sinks.write_table(df, written[name], args.out_format)
             else:
                 written[name] = f"{args.out.rstrip('/')}/{name}"
                 sinks.write_list(df, written[name], args.out_format)
-        if saved:
+        if saved and counts:
             counts.save(spark, saved)
     finally:
         strategy.discard(spark, stage)

@@ -25,6 +25,8 @@ SIGNUP_BASE = "2019-01-01"
 CUSTOMER_DELETED = "2020-01-01 00:00:00"
 SUBSCRIPTION_EVENT = "2020-02-01 00:00:00"
 UNKNOWN_METRO = 100
+#: Delivery times that part the orders into slices read one after the other.
+ARRIVAL_EDGES = ("2024-01-11 00:00:00", "2024-01-21 06:30:00", "2024-02-01 00:00:00")
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

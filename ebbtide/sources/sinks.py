@@ -7,7 +7,9 @@ leaves earlier runs alone (a retried or re-scheduled job is idempotent).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from .versions import Versions, VersionTaken
 
 
 def date_column(df: DataFrame) -> str:
@@ -24,6 +26,40 @@ def write_list(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     )
 
 
+def publish(out: dict[str, DataFrame], folder: str, run_date: str, fmt: str = "parquet") -> dict[str, str]:
+    """Writes the lists of one run date and makes them visible all at once.
+
+    Every list goes to a data folder that nothing points to; then one manifest
+    (``sources.versions``) names them all. A run that dies before leaves every
+    date's lists as they were; one that publishes a date again replaces the lists
+    it made and no others. Two runs may publish at the same time.
+    """
+    spark = next(iter(out.values())).sparkSession
+    versions = Versions(spark, folder)
+    data = versions.new_data()
+    written = {}
+    for name, df in out.items():
+        written[name] = f"{data}/{name}"
+        df.write.format(fmt).save(written[name])
+    while True:
+        number, held = versions.current()
+        dates = held.get("dates", {})
+        try:
+            versions.commit(number + 1, {"format": fmt, "dates": dates | {run_date: dates.get(run_date, {}) | written}})
+            return written
+        except VersionTaken:
+            continue  # another run published meanwhile: add to what it left
+
+
+def published(spark: SparkSession, folder: str, name: str, run_date: str | None = None) -> DataFrame:
+    """A list as it was last published, of one run date or of all."""
+    held = Versions(spark, folder).current()[1]
+    paths = [p[name] for d, p in sorted(held.get("dates", {}).items()) if name in p and run_date in (None, d)]
+    if not paths:
+        raise LookupError(f"no list {name!r} is published in {folder}" + (f" for {run_date}" if run_date else ""))
+    return spark.read.format(held["format"]).load(paths)
+
+
 def write_table(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     """Into a catalog table (created on first use): replaces the dates written, and only these."""
     spark = df.sparkSession

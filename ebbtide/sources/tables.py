@@ -18,6 +18,10 @@ class Tables:
     orders: DataFrame
     subscriptions: DataFrame
     metros: DataFrame
+    #: Whether orders lie in buckets by customer, and the orders kept apart from
+    #: them, in buckets by customer and salt (see ``sources.buckets``).
+    in_buckets: bool = False
+    hot_orders: DataFrame | None = None
 
 
 def conform(df: DataFrame, schema) -> DataFrame:
