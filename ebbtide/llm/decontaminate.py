@@ -9,9 +9,12 @@ positional bound (not before the text's first word) and the length bound (all
 of the window's words before its end) prune candidates, and the rest is
 verified word by word.
 
-The benchmark is taken in blocks of at most ``BLOCK_BYTES`` of text, so what is
-broadcast is bounded however large it grows; each block is run against all
-documents. Null and empty texts and items have no words and hit nothing; an
+The benchmark is taken in blocks of ``BLOCK_BYTES`` of text (an item is not cut), one
+at a time: a block's windows take about 90 bytes a byte of text in the driver and in
+each Python worker, some 100 MB, and three times that while they are made. Each block
+is run against all documents, what it found is stored, and its broadcast destroyed
+before the next is made; so memory stays bounded however large the benchmark is, and
+the work is documents times blocks. Texts of any length are taken whole. Null and empty texts and items have no words and hit nothing; an
 item without an id counts as ``null``; items with equal ids count once.
 Repeated documents give repeated rows. Columns other than id and text are not
 looked at.
@@ -27,12 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import stored
+from .scratch import drop_stored, stored
 from .words import ALNUM, LOWER, Words, gram_hashes, split, text_slices
 
 WINDOW = 10
 SHINGLE = 3
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def _words(batch: pa.RecordBatch, column: str) -> Iterator[tuple[pa.RecordBatch, Words]]:
@@ -163,7 +166,7 @@ def _prepared(source: DataFrame, benchmark: DataFrame, limit: int) -> Iterator:
         counts = {k: np.zeros(len(p[0]), np.int64) for k, p in block.places.items()}
         for row in _count(source, sent, "text").toLocalIterator():  # at most the block's shingles
             counts[row.k][row.shingle] = row.n
-        sent.unpersist()
+        sent.destroy()
         block.choose(counts)
         block.flat = np.concatenate([*block.hashes, np.zeros(0, np.uint64)])
         block.flat_at = np.cumsum(block.sizes) - block.sizes
@@ -173,19 +176,28 @@ def _prepared(source: DataFrame, benchmark: DataFrame, limit: int) -> Iterator:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs``, unchanged, that hold no window of any item."""
-    kept = docs
-    for block in _prepared(docs.select(F.col(text_col).alias("text")), benchmark, limit):
 
-        def run(batches, block=block):
+    def without(rows: DataFrame, block) -> DataFrame:
+        def run(batches):
             for batch in batches:
-                for rows, words in _words(batch, text_col):
+                for some, words in _words(batch, text_col):
                     at, _ = _occurrences(words, block.value)
-                    clean = np.ones(rows.num_rows, bool)
+                    clean = np.ones(some.num_rows, bool)
                     clean[np.searchsorted(words.first, at, side="right") - 1] = False
-                    yield rows.filter(pa.array(clean))
+                    yield some.filter(pa.array(clean))
+
+        return rows.mapInArrow(run, docs.schema)
 
-        kept = kept.mapInArrow(run, docs.schema)
-    return kept
+    kept, last, held = docs, None, None
+    for block in _prepared(docs.select(F.col(text_col).alias("text")), benchmark, limit):
+        if last is not None:  # one block in memory at a time
+            kept = stored(without(kept, last), "clean")
+            if held is not None:
+                drop_stored(held)
+            held = kept
+            last.destroy()
+        last = block
+    return kept if last is None else without(kept, last)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:
@@ -197,15 +209,25 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     kind = dict(docs.dtypes)[id_col]
     source = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("fp"))
     schema = f"doc {kind}, n_words bigint, n_hit bigint, spans array<struct<a:bigint,b:bigint>>, items array<string>"
-    parts = list(_prepared(source, benchmark, limit))
-    if not parts:
+    found, last = [], None
+
+    def hit(block) -> DataFrame:
+        rows = _scan(source, block, schema, True).filter("n_hit > 0").select("doc", "fp", "spans", "items").dropDuplicates(["doc", "fp"])
+        out = stored(rows, "hits")
+        block.destroy()
+        return out
+
+    for block in _prepared(source, benchmark, limit):
+        if last is not None:  # one block in memory at a time
+            found.append(hit(last))
+        last = block
+    if last is None:
         empty = Block([])
         empty.flat, empty.flat_at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         return _scan(source, spark.sparkContext.broadcast(empty), schema)
-    if len(parts) == 1:
-        return _scan(source, parts[0], schema)
-    found = [stored(_scan(source, p, schema, True).filter("n_hit > 0").select("doc", "fp", "spans", "items").dropDuplicates(["doc", "fp"]), "hits") for p in parts]
-    return _union(source, found, schema)
+    if not found:
+        return _scan(source, last, schema)
+    return _union(source, [*found, hit(last)], schema)
 
 
 def _scan(source: DataFrame, block, schema: str, fingerprint: bool = False) -> DataFrame:

@@ -6,29 +6,35 @@ the relative frequencies of hashed byte bigrams and trigrams (ASCII letters in
 lower case) of the whole text, so every machine is one table of weights and a
 text's score is the mean of the weights met.
 
-Training takes a bounded sample: about ``SAMPLE`` labelled rows a language,
-chosen by a hash of the id, of at most ``MAX_LANGS`` languages (the most
-frequent). Prediction covers every row and looks at the text only.
+Training takes a bounded sample: about ``SAMPLE`` distinct labelled texts of every
+language, chosen by a hash of the text, and about ``TOTAL`` of all (with many
+languages each has fewer, two at least). Every labelled language is learned, and
+what is trained grows with their number only. Prediction covers every row and
+looks at the text only.
 
 Null texts and texts without a letter get ``und`` with score 0, as does
-everything when no labelled row exists. Repeated rows and extra columns make no
-difference.
+everything when no labelled row exists. Of languages with equal votes the one that
+won its closest decision more clearly is taken, of equal families and languages the
+first by name. Repeated rows, and rows with equal or missing ids, make no
+difference: a text is in the sample once. Very long texts are read whole. Extra
+columns stay as they are; ones named lang_pred or score are replaced.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .words import LOWER, text_slices
 
-#: Rows of a language that training sees, about; and languages at most.
+#: Texts of a language that training sees, about; and of all languages.
 SAMPLE = 256
-MAX_LANGS = 64
+TOTAL = 4096
 #: Hashed features of each order of n-gram.
 DIM = 1 << 12
 UNDETERMINED = "und"
@@ -110,8 +116,9 @@ def train(rows: list[tuple[str, np.ndarray]]) -> Model:
     x = np.array([f for _, f in rows], np.float64)
     scale = 1.0 / (x.std(axis=0) + 1e-4)
     centre = x.mean(axis=0)
-    z = (x - centre) * scale
-    unit = 1.0 / np.sqrt((z**2).sum(axis=1).mean())
+    x -= centre
+    x *= scale
+    z, unit = x, 1.0 / np.sqrt(np.einsum("ij,ij->i", x, x).mean())
     z *= unit
     lang = np.array([a for a, _ in rows])
     kin = np.array([family(a) for a, _ in rows])
@@ -199,16 +206,20 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, max_langs: int = MAX_LANGS) -> Model:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE, total: int = TOTAL) -> Model:
     """A model of the labelled rows of ``docs`` (the caller leaves held-out rows away)."""
     labelled = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang is not null and text is not null")
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    counts = labelled.groupBy("lang").agg(F.count_distinct(F.xxhash64("text")).alias("count")).collect()  # one row a language
     if not counts:
         return train([])
-    # A share of the hash range that holds about `sample` rows of each language.
+    # A share of the hash range that surely holds `each` texts of every language, and of these the first by hash.
+    each = min(sample, max(2, total // len(counts)))
     span = 1 << 30
-    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(int(min(1.0, sample / r["count"]) * span)))])
-    chosen = labelled.filter(F.pmod(F.xxhash64(F.col("i"), F.lit("language sample")), F.lit(span)) < share[F.col("lang")]).select("lang", "text")
+    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(math.ceil(min(1.0, (4 * each + 20) / r["count"]) * span)))])
+    h = F.pmod(F.xxhash64(F.col("text"), F.lit("language sample")), F.lit(span))
+    some = labelled.select("lang", "text", h.alias("h")).filter(F.col("h") < share[F.col("lang")]).distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
+    chosen = some.withColumn("place", place).filter(F.col("place") <= each).select("lang", "text")
 
     def run(batches):
         for batch in batches:
@@ -218,14 +229,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                     if ok[k]:
                         yield pa.RecordBatch.from_pydict({"lang": [lang], "f": [features(data[at[k] : at[k + 1]]).tobytes()]})
 
-    got = chosen.mapInArrow(run, "lang string, f binary").collect()  # about sample * max_langs rows at most
+    got = chosen.mapInArrow(run, "lang string, f binary").collect()  # about `total` rows, two a language at least
     rows = sorted((r["lang"], bytes(r["f"])) for r in got)
     return train([(lang, np.frombuffer(f, np.float32)) for lang, f in rows])
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score from the text alone; other columns stay (clashing ones are replaced)."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # MAX_LANGS squared tables of weights at most
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # 64 KB a machine: one a family, one a pair of a family's languages
     docs = docs.drop("lang_pred", "score")
 
     def run(batches):

@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -226,19 +227,32 @@ def added_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str,
     r = rewrite(text)
     if r is None:
         return []
-    taken = sorted((s, e) for _, s, e in base)
-    out = []
+    starts, ends = _union(base)
+    out, free = [], 0  # matches come by their source start: added ones before end at ``free`` at the latest
     for kind, a, b in base_spans(r.text):
         start, end = r.start[a], r.end[b - 1]
         if not any(r.start[k] in r.changed for k in range(a, b)) and end - start == b - a:
             continue
-        if any(s < end and start < e for s, e in taken):
+        near = bisect_right(ends, start)  # the first base span that ends after this one's start
+        if start < free or near < len(starts) and starts[near] < end:
             continue
         out.append((kind, start, end))
-        taken.append((start, end))
+        free = end
     return out
 
 
+def _union(spans: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the disjoint ascending spans that these cover together."""
+    starts, ends = [], []
+    for start, end in sorted((s, e) for _, s, e in spans):
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
 def all_spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Base spans, and base and added spans together, each in the order of base_spans."""
     base = base_spans(text or "")
