@@ -16,6 +16,8 @@ Rows without an id are kept by the near-duplicate stage; rows with equal ids and
 texts are one document there and stay once. Rows with equal ids and different
 texts are documents of their own: each is decided by its text's group, and where
 one group's smallest id has several texts, that with the smallest row key stays.
+Of rows with equal ids and texts the one whose columns come first in order stays.
+Columns of any other name are carried through unchanged.
 """
 
 from __future__ import annotations
@@ -35,16 +37,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose language was determined; learns as the operator's query does."""
     ship(spark)
     model = langid.fit(docs.filter(~langid.held_out("doc_id")))
-    return langid.predict(docs, model).filter(F.col("lang_pred") != langid.UNDETERMINED).select(*docs.columns)
+    own = [f"c{i}" for i in range(len(docs.columns))]  # no name that the prediction adds
+    told = langid.predict(docs.toDF(*own), model, own[docs.columns.index("text")])
+    return told.filter(F.col("lang_pred") != langid.UNDETERMINED).select(*own).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group."""
     ship(spark)
-    groups = ngram_join.near_duplicates(docs, with_keys=True)
-    gone = groups.filter("doc_id <> component_id or row_key <> component_key").select("doc_id", "row_key").distinct()
-    left = docs.withColumn("row_key", ngram_join.row_key()).join(gone, ["doc_id", "row_key"], "left_anti").select(*docs.columns)
-    return left.filter("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(left.filter("doc_id is null"))
+    groups = stored(ngram_join.near_duplicates(docs, with_keys=True), "groups").filter("doc_id is not null")
+    keys = groups.groupBy("doc_id", "row_key").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_or(F.expr("doc_id <> component_id or row_key <> component_key")).alias("gone"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), ngram_join.row_key().alias("key"))
+    odd = keys.filter("gone or n > 1").select(F.col("doc_id").alias("id"), F.col("row_key").alias("key"), "gone")
+    kept = rows.join(odd, ["id", "key"], "left").filter("gone is null or not gone")
+    repeated = kept.filter("gone is not null").groupBy("id", "key", "row.text").agg(F.min("row").alias("row"))
+    return kept.filter("gone is null").select("row.*").unionByName(repeated.select("row.*"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
