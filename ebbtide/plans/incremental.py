@@ -183,7 +183,7 @@ def customer_history(tables: Tables, held: State, cfg: SegmentConfig, with_value
     span = held.spark.range(1).select(*[c.cast("string") for c in rollup.days_needed(cfg)]).first()
     days = held.days(span[0], span[1])
     totals = held.totals()
-    n_ids = strategy.bounded_count(tables.customers, lists.candidates(tables, cfg), cfg)
+    n_ids = strategy.bounded_count(tables, lists.candidates(tables, cfg), cfg)
     how, bits = strategy.orders_join(held.spark, cfg, n_ids)
     days, totals = (lists.reduced(x, ids, how, bits) for x in (days, totals))
     per_customer = rollup.history_of(totals, days, cfg, with_value)

@@ -70,7 +70,7 @@ def reduced(delivered: DataFrame, ids: DataFrame, how: str, n: int) -> DataFrame
 def eligible_orders(tables: Tables, cfg: SegmentConfig) -> DataFrame:
     """Delivered orders, reduced map-side to those that may be eligible customers'."""
     ids = eligible(tables, cfg)
-    n_ids = strategy.bounded_count(tables.customers, candidates(tables, cfg), cfg)
+    n_ids = strategy.bounded_count(tables, candidates(tables, cfg), cfg)
     how, bits = strategy.orders_join(tables.orders.sparkSession, cfg, n_ids)
     return reduced(_delivered(tables, cfg), ids, how, bits).select("id", "customer_id", "created_at", "actual_subtotal")
 
@@ -78,7 +78,7 @@ def eligible_orders(tables: Tables, cfg: SegmentConfig) -> DataFrame:
 def customer_orders(tables: Tables, cfg: SegmentConfig, broadcast: bool | None = None) -> DataFrame:
     """Delivered orders of the eligible customers, one row per order."""
     ids = eligible(tables, cfg)
-    n_ids = strategy.bounded_count(tables.customers, candidates(tables, cfg), cfg)
+    n_ids = strategy.bounded_count(tables, candidates(tables, cfg), cfg)
     how, bits = strategy.orders_join(tables.orders.sparkSession, cfg, n_ids, broadcast)
     rows = reduced(_delivered(tables, cfg), ids, how, bits)
     if how == "broadcast":
@@ -106,7 +106,7 @@ def customer_history(tables: Tables, cfg: SegmentConfig, with_value: bool = Fals
         return _bucket_history(tables, cfg, with_value, broadcast, counts, attrs, ids)
     delivered = _delivered(tables, cfg)
     n_ids, plan = strategy.probe_orders_pass(
-        tables.customers, candidates(tables, cfg), delivered, cfg, plan)
+        tables, candidates(tables, cfg), delivered, cfg, plan)
     how, bits = strategy.orders_join(tables.orders.sparkSession, cfg, n_ids, broadcast)
     per_customer = history.order_history(
         reduced(delivered, ids, how, bits), cfg, with_value, plan)
@@ -123,7 +123,7 @@ def _bucket_history(tables: Tables, cfg: SegmentConfig, with_value: bool, broadc
                     counts: skew.Counts | None, attrs: tuple[str, ...], ids: DataFrame) -> DataFrame:
     """``customer_history`` of orders in buckets: aggregated where they lie. Where the
     ids are not broadcast, they are shuffled to the buckets and joined there."""
-    n_ids = strategy.bounded_count(tables.customers, candidates(tables, cfg), cfg)
+    n_ids = strategy.bounded_count(tables, candidates(tables, cfg), cfg)
     how, _ = strategy.orders_join(tables.orders.sparkSession, cfg, n_ids, broadcast)
     in_place = skew.ShufflePlan(in_place=True)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import SegmentConfig
 from ..operators import semijoin, skew
+from ..sources.tables import Tables
 
 DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
@@ -40,32 +41,31 @@ def fits_broadcast(df: DataFrame, cfg: SegmentConfig, row_bytes: int | None = No
     return rows * (row_bytes or cfg.broadcast_row_bytes) <= budget
 
 
-def bounded_count(everyone: DataFrame, some: DataFrame, cfg: SegmentConfig) -> int:
-    """A bound on the rows of ``some``, a filtered ``everyone``: the plain count
-    of ``everyone`` (for Parquet read off the footers) where that settles the
-    broadcast, else the count of ``some``."""
-    n = everyone.count()
-    if n * cfg.broadcast_row_bytes <= broadcast_budget(everyone.sparkSession, cfg):
+def bounded_count(tables: Tables, some: DataFrame, cfg: SegmentConfig) -> int:
+    """A bound on the rows of ``some``, filtered customers: the plain count of
+    customers where that settles the broadcast, else the count of ``some``."""
+    n = tables.n_customers
+    if n * cfg.broadcast_row_bytes <= broadcast_budget(some.sparkSession, cfg):
         return n
     return some.count()
 
 
-def probe_orders_pass(everyone: DataFrame, some: DataFrame, delivered: DataFrame, cfg: SegmentConfig,
+def probe_orders_pass(tables: Tables, some: DataFrame, delivered: DataFrame, cfg: SegmentConfig,
                       plan: skew.ShufflePlan | None = None) -> tuple[int, skew.ShufflePlan]:
     """Measure what the orders-pass plan depends on: (id count, shuffle plan).
 
-    ``some`` of ``everyone`` is a superset of the broadcast candidate. With a
+    ``some`` of the customers is a superset of the broadcast candidate. With a
     ``plan`` (from saved counts) only ids are counted. Without one, on a first
     run, a sample of delivered orders sizes the shuffle and finds hot customers
     in a second, concurrent job; it reads the key column of all orders.
     """
     if plan is not None:
-        return bounded_count(everyone, some, cfg), plan
+        return bounded_count(tables, some, cfg), plan
     # Threads inherit the caller's job group / scheduler pool, so the probe
     # is cancelled and accounted together with the job that needs it.
-    inherit = inheritable_thread_target(everyone.sparkSession)
+    inherit = inheritable_thread_target(some.sparkSession)
     with ThreadPoolExecutor(max_workers=2) as pool:
-        count = pool.submit(inherit(bounded_count), everyone, some, cfg)
+        count = pool.submit(inherit(bounded_count), tables, some, cfg)
         shuffle = pool.submit(inherit(skew.plan_shuffle), delivered, cfg)
         return count.result(), shuffle.result()
 

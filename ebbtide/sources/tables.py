@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,11 @@ class Tables:
     in_buckets: bool = False
     hot_orders: DataFrame | None = None
 
+    @cached_property
+    def n_customers(self) -> int:
+        """Rows of customers (for Parquet read off the footers), counted once for all lists of a run."""
+        return self.customers.count()
+
 
 def conform(df: DataFrame, schema) -> DataFrame:
     """Select exactly the schema's columns, cast to its types.
