@@ -9,18 +9,22 @@ shingle within their first n - ceil(t n) + 1, their prefixes; documents join on
 these only. Candidates must pass the length filter, the positional filter (what
 may still follow the shared shingle is enough) and the suffix filter (halving
 both sets around a probe shingle) and a bound from their whole prefixes, and are
-then verified once on whole texts.
+then verified once on whole texts. Where many sets share a shingle, the suffix
+filter's idea comes first in a form that needs no sets: a set's parities over 512
+hash ranges differ between two sets in no more ranges than they have shingles apart.
 
 Documents with equal sets are one node from the start. A group of copies would
 make pairs in the square of its size, so a shingle of over ``SMALL`` nodes pairs
-them with ``HUBS`` of them at first. Shingles whose nodes are known to be in one
+them with ``HUBS`` of them at first, and of the hubs of its shingles a node meets
+few: the one that it shares most with, and the first ones in some orders that all agree on. Shingles whose nodes are known to be in one
 component through verified links are done, and the rest gets other hubs in the
-next round, until little is left (or after ``ROUNDS``): that is joined in full
-between nodes not known to be connected, so that no link between components is
+next round, until the rest can be compared by parities at a bounded cost a row
+(or after ``ROUNDS``): that is joined in full between nodes not known to be connected, so that no link between components is
 missed.
 
 Documents without words have no set and link with nothing; with fewer than
 ``K`` words the whole sequence is the one shingle. Null texts have no words.
+Texts of any length are taken whole; a text's set is held in memory.
 Rows with equal ids are rows of their own with the same id.
 Rows without an id link like others, but are never the smallest id: in a
 component without any id both component_id and class_id are null. Columns other than
@@ -49,12 +53,19 @@ PART = 1 << 12
 REDUCER_BITS = 1 << 24
 #: Shingles of so many nodes at most are joined in full at once; others get rounds of hubs.
 SMALL = 16
-#: Hubs of a shingle in a round, and links between rounds within which nodes are known to be connected.
+#: Hash ranges whose parities bound how far two sets are apart, in 64-bit words.
+PARITY_WORDS = 8
+#: Hubs of a shingle in the first round and in later ones, where few nodes are left; links between
+#: rounds within which nodes are known to be connected.
 HUBS = 1
+LATER_HUBS = 8
 HOPS = 4
-#: Rounds at most (the last joins in full), and the pairs left, by the rows at the start, at which that is done.
+#: Rounds at most (the last joins in full). That is done before, but after ``STARS`` rounds of hubs, where
+#: the pairs left to compare by parities are no more than these for each row at the start, and for one shingle.
 ROUNDS = 5
-FULL_BELOW = 4
+STARS = 2
+FULL_BELOW = 256
+FULL_SHINGLE = 1 << 28
 #: Pairs whose sets are held at once.
 PAIRS = 256
 
@@ -115,8 +126,19 @@ def _fingerprint(shingles: np.ndarray) -> int:
     return int(mix(shingles).sum(dtype=np.uint64).astype(np.int64))
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Of each hash range, whether it holds an odd number of the set's shingles, as 64-bit words.
+
+    A shingle that one of two sets has flips one bit, so the words of two sets differ
+    in as many bits at most as the sets have shingles apart.
+    """
+    size = 64 * PARITY_WORDS
+    odd = np.bincount((mix(shingles) % np.uint64(size)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
 def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(doc, key, n, node, check, prefix): the set's size, two fingerprints, and its rarest shingles."""
+    """(doc, key, n, node, check, prefix, parity): the set's size, two fingerprints, its rarest shingles and its parities."""
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(_rarity(docs.select("text"), k))  # 2 MB
     shift = np.uint64(64 - COUNTER_BITS)
@@ -125,10 +147,11 @@ def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
         rank = order.value
         for batch in batches:
             for rows, sets in _texts(batch, k):
-                n, node, check, prefix = [], [], [], []
+                n, node, check, prefix, parity = [], [], [], [], []
                 for s in sets:
                     m = len(s)
                     n.append(m)
+                    parity.append(parities(s))
                     node.append(_fingerprint(s))
                     check.append(int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
                     token = (rank[s >> shift].astype(np.uint64) << np.uint64(48)) | (s & np.uint64((1 << 48) - 1))
@@ -136,11 +159,11 @@ def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     prefix.append(token[: m - (m * percent + 99) // 100 + 1].view(np.int64) if m else token.view(np.int64))
                 yield pa.RecordBatch.from_pydict({
                     "doc": rows.column(0), "key": rows.column(2), "n": pa.array(n, pa.int32()), "node": pa.array(node, pa.int64()),
-                    "check": pa.array(check, pa.int64()), "prefix": pa.array(prefix, pa.list_(pa.int64())),
+                    "check": pa.array(check, pa.int64()), "prefix": pa.array(prefix, pa.list_(pa.int64())), "parity": pa.array(parity, pa.list_(pa.int64())),
                 })
 
     kind = dict(docs.dtypes)["doc"]
-    return docs.mapInArrow(run, f"doc {kind}, key bigint, n int, node bigint, check bigint, prefix array<bigint>")
+    return docs.mapInArrow(run, f"doc {kind}, key bigint, n int, node bigint, check bigint, prefix array<bigint>, parity array<bigint>")
 
 
 def _alike(percent: int, na: str = "na", nb: str = "nb") -> str:
@@ -153,6 +176,12 @@ def _enough(percent: int) -> str:
     return f"1 + least(na - pa - 1, nb - pb - 1) >= {need}"
 
 
+def _near(percent: int, x: str, y: str) -> str:
+    """Whether the parities allow a link: differing bits against the shingles that two linked sets may have apart."""
+    apart = " + ".join(f"bit_count({x}[{i}] ^ {y}[{i}])" for i in range(PARITY_WORDS))
+    return f"{apart} <= na + nb - 2 * ceil({percent}.0 * (na + nb) / {100 + percent})"
+
+
 def may_overlap(x: np.ndarray, y: np.ndarray, need: int, depth: int = 2) -> bool:
     """Suffix filter: bounds the overlap by halving both ascending sets around a probe."""
     return _bound(x, y, depth) >= need
@@ -265,13 +294,19 @@ def _shared(described: DataFrame) -> DataFrame:
 
 
 def _star(rows: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Candidates between a few hubs of each token and its other nodes, of other components."""
-    place = F.struct("node", "n", "pos", "root")
-    hubs = rows.groupBy("token").agg(*[F.min_by(place, F.xxhash64("node", F.lit(turn * HUBS + i))).alias(f"h{i}") for i in range(HUBS)])
-    hub = hubs.select("token", F.explode(F.array_distinct(F.array(*[f"h{i}" for i in range(HUBS)]))).alias("h"))
+    """Candidates between hubs of each token and its other nodes, of other components; a node meets few hubs."""
+    place = F.struct("node", "n", "pos", "root", "parity")
+    n = HUBS if turn == 0 else LATER_HUBS
+    hubs = rows.groupBy("token").agg(*[F.min_by(place, F.xxhash64("node", F.lit(turn * LATER_HUBS + i))).alias(f"h{i}") for i in range(n)])
+    hub = hubs.select("token", F.explode(F.array_distinct(F.array(*[f"h{i}" for i in range(n)]))).alias("h"))
     met = rows.join(hub, "token").filter("node <> h.node and root <> h.root")
-    met = met.selectExpr("least(node, h.node) as a", "greatest(node, h.node) as b", "n as na", "h.n as nb", "pos as pa", "h.pos as pb")
-    return met.filter(_alike(percent)).filter(_enough(percent)).select("a", "b")
+    met = met.selectExpr("node", "h.node as hub", "n as na", "h.n as nb", "pos as pa", "h.pos as pb", "parity as x", "h.parity as y")
+    met = met.filter(_alike(percent)).filter(_enough(percent)).filter(_near(percent, "x", "y"))
+    shared = met.groupBy("node", "hub").agg(F.count(F.lit(1)).alias("shared"))
+    orders = [F.xxhash64("hub", F.lit(turn * LATER_HUBS + i)) for i in range(n)]
+    met = [F.max_by("hub", F.struct("shared", orders[0])), F.min_by("hub", F.xxhash64("hub", F.lit(-1 - turn))), *[F.min_by("hub", o) for o in orders]]
+    each = shared.groupBy("node").agg(F.array_distinct(F.array(*met)).alias("hubs")).select("node", F.explode("hubs").alias("hub"))
+    return each.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
 
 
 def _early(percent: int) -> str:
@@ -281,9 +316,11 @@ def _early(percent: int) -> str:
 
 def _full(rows: DataFrame, percent: int) -> DataFrame:
     """All candidates between nodes of different components: early shingles of the smaller set meet all of larger ones."""
-    x = rows.filter(_early(percent)).selectExpr("token", "node as a", "n as na", "pos as pa", "root as ra")
-    y = rows.selectExpr("token as token_b", "node as b", "n as nb", "pos as pb", "root as rb")
-    met = x.join(y, F.expr(f"token = token_b and (na < nb or na = nb and a <> b) and ra <> rb and {_alike(percent)} and {_enough(percent)}"))
+    parity = "parity" in rows.columns
+    x = rows.filter(_early(percent)).selectExpr("token", "node as a", "n as na", "pos as pa", "root as ra", *["parity as x"] * parity)
+    y = rows.selectExpr("token as token_b", "node as b", "n as nb", "pos as pb", "root as rb", *["parity as y"] * parity)
+    near = f" and {_near(percent, 'x', 'y')}" if parity else ""
+    met = x.join(y, F.expr(f"token = token_b and (na < nb or na = nb and a <> b) and ra <> rb and {_alike(percent)} and {_enough(percent)}{near}"))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
@@ -315,13 +352,15 @@ def linked(docs: DataFrame, described: DataFrame, reps: DataFrame, k: int, perce
     if not volume:
         return None
     tested = links = None
+    # the nodes of shingles that many share carry their parities along
+    wide = rows.filter(F.col("c") > small)
+    mask = bitmap(wide, "node", REDUCER_BITS)
+    parity = keep_members(described.filter("n > 0").select("node", "parity"), mask, "node", REDUCER_BITS).dropDuplicates(["node"])
+    few, rows = rows.filter(F.col("c") <= small), stored(wide.join(parity, "node"), "wide")
     for turn in range(rounds + 1):
-        if turn == rounds:
-            pairs = _full(rows, percent)
-        elif turn == 0:
-            pairs = _full(rows.filter(F.col("c") <= small), percent).unionAll(_star(rows.filter(F.col("c") > small), percent, turn))
-        else:
-            pairs = _star(rows, percent, turn)
+        pairs = _full(rows, percent) if turn == rounds else _star(rows, percent, turn)
+        if turn == 0:
+            pairs = pairs.unionAll(_full(few, percent))
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -330,14 +369,15 @@ def linked(docs: DataFrame, described: DataFrame, reps: DataFrame, k: int, perce
         links = found if links is None else links.unionAll(found)
         if turn == rounds:
             break
-        # Shingles of one component are done, and so are the small ones once they were joined in full.
-        rows = rows.drop("root").filter(F.col("c") > (small if turn == 0 else 1)).join(_labels(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        # Shingles of one component are done.
+        rows = rows.drop("root").join(_labels(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
         left = stored(_pairable(rows, percent), "left")
         rows = stored(rows.join(left.select("token"), "token"), "rows")
-        work = left.agg(F.sum("work")).first()[0]
-        if work is None:
+        work = left.agg(F.sum("work").alias("all"), F.max("work").alias("most")).first()
+        if work["all"] is None:
             break
-        if work <= FULL_BELOW * volume or turn + 2 >= rounds:
+        bounded = work["all"] <= FULL_BELOW * volume and work["most"] <= FULL_SHINGLE
+        if (turn + 1 >= STARS and bounded) or turn + 2 >= rounds:
             rounds = turn + 1  # the next is the full join
         tested = pairs if tested is None else tested.unionAll(pairs)
     return stored(components(links), "roots")

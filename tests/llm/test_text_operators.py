@@ -70,6 +70,18 @@ def test_substring_dedup_without_rows_or_ids(spark, no_docs):
 # 3 n-gram join ----------------------------------------------------------------
 
 
+def test_parities_bound_the_shingles_apart():
+    rng = np.random.default_rng(4)
+    for n, apart in ((1, 1), (30, 4), (400, 60), (5000, 900)):
+        x = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        y = np.union1d(x[apart // 2 :], rng.integers(0, 2**64, apart - apart // 2, dtype=np.uint64))
+        p, q = ngram_join.parities(x), ngram_join.parities(y)
+        differ = sum(int(a ^ b).bit_count() for a, b in zip(p.view(np.uint64).tolist(), q.view(np.uint64).tolist(), strict=True))
+        assert differ <= len(np.setxor1d(x, y)) and (differ > 0) == (len(np.setxor1d(x, y)) > 0)
+    far = [ngram_join.parities(rng.integers(0, 2**64, 100, dtype=np.uint64)).view(np.uint64).tolist() for _ in range(2)]
+    assert sum((a ^ b).bit_count() for a, b in zip(*far, strict=True)) > 200 - 2 * 89  # unlike sets of 100: more than a link allows
+
+
 @pytest.mark.parametrize("rounds", [0, 1, 5])
 def test_ngram_join(edge_docs, edge_texts, rounds):
     got, rows = by_id(ngram_join.near_duplicates(edge_docs, rounds=rounds))
@@ -263,6 +275,28 @@ def test_pii_query(spark, edge_docs, no_docs):
     assert pii.find(no_docs).collect() == [] and pii.find(edge_docs).count() == edge_docs.count()
 
 
+def test_many_disguises_in_one_text_are_placed_as_by_comparing_all():
+    rng = random.Random(6)
+    parts = ["a@b.co", "joe at host dot com", "joe (at) host (dot) com", "+1 555 123 4567", "five five five", "1.2.3.4", "192 dot 168 dot 1 dot 10", "4111 1111 1111 1111", "words", "four one one one 1111 1111 1111"]
+    for _ in range(30):
+        text = rng.choice((" ", ", ", " ; ")).join(rng.choice(parts) for _ in range(60))
+        base, both = pii.all_spans(text)
+        taken = [(s, e) for _, s, e in base]
+        r = pii.rewrite(text)
+        expected = list(base)
+        for kind, a, b in pii.base_spans(r.text) if r else []:
+            start, end = r.start[a], r.end[b - 1]
+            rewritten = any(r.start[k] in r.changed for k in range(a, b)) or end - start != b - a
+            if rewritten and not any(s < end and start < e for s, e in taken):
+                expected.append((kind, start, end))
+                taken.append((start, end))
+        assert sorted(both) == sorted(expected)
+    # 40,000 of each would take minutes if each were compared with all others
+    base, both = pii.all_spans("a@b.co joe (at) host (dot) com " * 40_000)
+    assert len(base) == 40_000 and len(both) == 80_000
+
+
+
 # 8 byte-level BPE -------------------------------------------------------------
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -361,6 +395,20 @@ def test_language_odd_rows(spark, edge_docs, no_docs):
     assert len(told) == 4 and told.count("und") == 1 and set(told) <= {"und", "en", "zh"}
 
 
+def test_every_labelled_language_is_learned(spark):
+    """70 languages of two texts each, more than fit the sample whole; repeated rows come to the sample once."""
+    rows = []
+    for k in range(70):
+        a, b = chr(97 + k % 26), chr(97 + k // 26)
+        rows += [(100 * k + i, " ".join([f"{a}{a}{b}{a}{b}{b}"] * (8 + i)) + f" {a}{b}{i}", f"l{k:02}") for i in range(2)]
+    rows += [(None, rows[0][1], "l00")] * 300 + [(5, rows[2][1], "l01")] * 300
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    model = langid.fit(docs, total=140)
+    assert model.langs == [f"l{k:02}" for k in range(70)]
+    told = {(r.text, r.lang): r.lang_pred for r in langid.predict(docs, model).collect()}
+    assert sum(lang == got for (_, lang), got in told.items()) >= 0.95 * len(told)
+
+
 def test_languages_within_a_family(spark):
     """Two families of two: the family decides first, then the machine of its pair."""
     rng = random.Random(8)
