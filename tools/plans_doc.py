@@ -45,9 +45,9 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from ebbtide.config import FIXTURE_AS_OF, SegmentConfig
     from ebbtide.operators import skew
-    from ebbtide.plans import lists
+    from ebbtide.plans import incremental, lists
     from ebbtide.session import local_session
-    from ebbtide.sources import fixtures, schemas
+    from ebbtide.sources import buckets, fixtures, schemas
     from ebbtide.sources import tables as tables_mod
 
     scratch = tempfile.mkdtemp(prefix="ebbtide-plans-")
@@ -69,12 +69,19 @@ def main() -> None:
     def via(c, broadcast):
         return lists.base_from(lists.declining_customers(t, c, broadcast=broadcast, plan=plan), c)
 
+    buckets.store_orders(t.orders, "plan_orders", 8, path=os.path.join(scratch, "buckets"))
+    stored = buckets.load(spark, "plan_orders", t)
+    state = incremental.advance(spark, os.path.join(scratch, "state"), t.orders, "all", cfg)
     sections = [
         ("Base list, eligible ids broadcast (counted to fit the budget)", via(cfg, None)),
         ("Base list, eligible ids over the budget: bitmap prefilter, aggregate, exact join",
          via(cfg, False)),
         ("Base list, orders laid out by date: ids reduced by a pushed recency range first",
          via(cfg.replace(orders_by_created_at=True), None)),
+        ("Base list, orders in buckets, eligible ids over the budget: joined and aggregated in place",
+         lists.base_from(lists.declining_customers(stored, cfg, broadcast=False), cfg)),
+        ("Base list from the history kept between runs",
+         lists.base_from(incremental.declining_customers(t, state, cfg), cfg)),
         ("Detail list with two hot customers split", lists.detail_list(t, cfg, hot)),
         ("Metro list (join back to customers, counted broadcast of metros)",
          lists.metro_list(t, cfg, plan)),
