@@ -40,6 +40,8 @@ from . import lists, strategy
 ID_FOLDERS = 1024
 #: Of these, as many as the first build's ids are spread over.
 FIRST_ID_FOLDERS = 256
+#: A folder's range is 2^14 words, a million ids, at least.
+LEAST_ID_SHIFT = 14
 
 DAYS = "customer_id bigint, day date, n bigint, n_valued bigint, value decimal(38,2)"
 WORDS = "customer_id bigint, word bigint, mask bigint"
@@ -125,7 +127,7 @@ def advance(spark: SparkSession, folder: str, rows: DataFrame, slice_name: str,
     try:
         span = parts.agg(F.min("word").alias("a"), F.max("word").alias("b")).first()
         if "id_shift" not in after and span.a is not None:
-            after["id_shift"] = max(0, ((span.b - span.a) // FIRST_ID_FOLDERS).bit_length())
+            after["id_shift"] = max(LEAST_ID_SHIFT, ((span.b - span.a) // FIRST_ID_FOLDERS).bit_length())
         # weeks and id folders: bounded by the calendar and by ID_FOLDERS
         weeks = {str(r.k): r["count"] for r in parts.filter("day is not null").groupBy(_week().alias("k")).count().collect()}
         if weeks:
